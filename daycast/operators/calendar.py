@@ -6,12 +6,15 @@ most recent month with that layout.  It has at most 7 x 12 x 2 = 168 rows
 whatever the size of the history, which is what makes broadcasting it
 safe.
 
-Plan: one pass over the history (pruned to `month`, `days`, with the
-as-of bound pushed into the scan) finds the latest month of every layout
-as a partial aggregate; a broadcast semi-join of those <=168 months keeps
-only their rows; an exact median per layout follows.  Spark's median keeps
-a value->count map as its partial buffer (there are at most 31 distinct
-day counts), so a location or month holding most rows does not skew it.
+Plan: two aggregates, no join.
+1. The exact median of `days` per month over the known history (scan
+   pruned to `month`, `days`; the as-of bound is pushed into the scan).
+   Spark's median keeps a value->count map as its partial buffer (at most
+   31 distinct day counts), so it combines map-side and a month or
+   location holding most rows cannot skew it.  Output: one row per month.
+2. Per layout, the median of the latest month (E11).  Each month is also
+   offered, at lower priority, as the donor of a synthesised leap layout
+   (K2), which therefore only fills layouts the history lacks.
 """
 
 from __future__ import annotations
@@ -25,59 +28,65 @@ from daycast.params import ForecastParams
 MAX_CALENDAR_ROWS = 7 * 12 * 2
 
 
-def latest_months(monthly_sales: DataFrame, params: ForecastParams) -> DataFrame:
-    """The latest known month of every calendar key (<=168 rows)."""
-    known = monthly_sales.select("month").where(known_actuals("month", params.as_of, params.reported_day))
-    return (known.select(*calendar_key("month"), "month")
-            .groupBy(*CALENDAR_KEYS).agg(F.max("month").alias("year_ref")))
+def monthly_medians(monthly_sales: DataFrame, params: ForecastParams) -> DataFrame:
+    """F2 per month: exact median of the known day counts, truncated to int."""
+    known = monthly_sales.select("month", "days").where(known_actuals("month", params.as_of, params.reported_day))
+    return known.groupBy("month").agg(F.median("days").cast("int").alias("days_max"))
 
 
-def observed_calendar(monthly_sales: DataFrame, params: ForecastParams) -> DataFrame:
-    """K1 without the synthesised leap rows: median days of the latest month per key."""
-    latest = latest_months(monthly_sales, params)
-    rows = (monthly_sales.select("month", "days")
-            .where(known_actuals("month", params.as_of, params.reported_day))
-            .join(F.broadcast(latest), F.col("month") == F.col("year_ref"), "inner"))
-    return (rows.groupBy(*CALENDAR_KEYS, "year_ref")
-            .agg(F.median("days").cast("int").alias("days_max")))
+def _candidate(jan1: F.Column, leap: F.Column, priority: int, extra: F.Column) -> F.Column:
+    return F.struct(jan1.alias("jan1_day"), F.col("month_num"), leap.alias("leap_year"),
+                    F.lit(priority).alias("priority"), extra.alias("extra"))
 
 
-def synthesise_leap_calendars(calendar: DataFrame, weekdays: tuple[str, ...] = ("Wednesday",)) -> DataFrame:
-    """K2: calendar rows for leap years starting on `weekdays`, copied from
-    non-leap donors, for keys the history does not have.
+def leap_donor(weekdays: tuple[str, ...]) -> F.Column:
+    """K2: for a common-year month that can stand in for a leap layout, that
+    candidate; else null.
 
     A leap year starting on weekday W has the January-February layout of a
     common year starting on W (plus 29 February) and the March-December
     layout of a common year starting on W + 1.  29 February falls on W + 3;
     it adds a selling day unless that is a Sunday.
     """
-    if not weekdays:
-        return calendar.limit(0)
     idx = {n: i for i, n in enumerate(WEEKDAY_NAMES)}
-    jan_feb = F.lit(False)
-    mar_dec = F.lit(False)
-    rename = None
-    feb_plus = None
+    jan1, mnum = F.col("jan1_day"), F.col("month_num")
+    out = None
     for w in weekdays:
         nxt = WEEKDAY_NAMES[(idx[w] + 1) % 7]
-        feb29_is_sunday = WEEKDAY_NAMES[(idx[w] + 3) % 7] == "Sunday"
-        jan_feb = jan_feb | ((F.col("month_num") <= 2) & (F.col("jan1_day") == w))
-        mar_dec = mar_dec | ((F.col("month_num") > 2) & (F.col("jan1_day") == nxt))
-        cond = (F.col("month_num") > 2) & (F.col("jan1_day") == nxt)
-        rename = F.when(cond, F.lit(w)) if rename is None else rename.when(cond, F.lit(w))
-        plus = 0 if feb29_is_sunday else 1
-        cond_feb = (F.col("month_num") == 2) & (F.col("jan1_day") == w)
-        feb_plus = F.when(cond_feb, F.lit(plus)) if feb_plus is None else feb_plus.when(cond_feb, F.lit(plus))
-    donors = calendar.where(~F.col("leap_year") & (jan_feb | mar_dec))
-    made = (donors
-            .withColumn("leap_year", F.lit(True))
-            .withColumn("jan1_day", rename.otherwise(F.col("jan1_day")))
-            .withColumn("days_max", (F.col("days_max") + feb_plus.otherwise(F.lit(0))).cast("int")))
-    return made.join(F.broadcast(calendar.select(*CALENDAR_KEYS)), list(CALENDAR_KEYS), "left_anti")
+        feb29 = 0 if WEEKDAY_NAMES[(idx[w] + 3) % 7] == "Sunday" else 1
+        early = (mnum <= 2) & (jan1 == w)
+        late = (mnum > 2) & (jan1 == nxt)
+        extra = F.when(mnum == 2, F.lit(feb29)).otherwise(F.lit(0))
+        cand = _candidate(F.lit(w), F.lit(True), 1, extra)
+        cond = ~F.col("leap_year") & (early | late)
+        out = F.when(cond, cand) if out is None else out.when(cond, cand)
+    return out
 
 
 def day_details(monthly_sales: DataFrame, params: ForecastParams) -> DataFrame:
     """K1: the calendar lookup `(jan1_day, month_num, leap_year, year_ref, days_max)`."""
-    observed = observed_calendar(monthly_sales, params)
-    extra = synthesise_leap_calendars(observed, params.leap_weekdays)
-    return observed.unionByName(extra)
+    per_month = monthly_medians(monthly_sales, params).select("month", "days_max", *calendar_key("month"))
+    own = _candidate(F.col("jan1_day"), F.col("leap_year"), 0, F.lit(0))
+    cands = [own]
+    if params.leap_weekdays:
+        cands.append(leap_donor(params.leap_weekdays))
+    offered = (per_month.select("month", "days_max", F.explode(F.array(*cands)).alias("c"))
+               .where(F.col("c").isNotNull())
+               .select("c.jan1_day", "c.month_num", "c.leap_year", "c.priority", "c.extra", "month", "days_max"))
+    # own layout first (priority 0), then the latest month
+    pick = F.max_by(F.struct(F.col("month").alias("year_ref"), (F.col("days_max") + F.col("extra")).alias("d")),
+                    F.struct((-F.col("priority")).alias("p"), F.col("month").alias("m")))
+    return (offered.groupBy(*CALENDAR_KEYS).agg(pick.alias("v"))
+            .select(*CALENDAR_KEYS, "v.year_ref", F.col("v.d").cast("int").alias("days_max")))
+
+
+def observed_calendar(monthly_sales: DataFrame, params: ForecastParams) -> DataFrame:
+    """K1 without synthesised leap layouts."""
+    return day_details(monthly_sales, params.replace(leap_weekdays=()))
+
+
+def synthesised_rows(monthly_sales: DataFrame, params: ForecastParams) -> DataFrame:
+    """K2 alone: the calendar rows that come from leap donors."""
+    full = day_details(monthly_sales, params)
+    return full.join(observed_calendar(monthly_sales, params).select(*CALENDAR_KEYS),
+                     list(CALENDAR_KEYS), "left_anti")

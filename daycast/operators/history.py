@@ -1,11 +1,10 @@
-"""Monthly history: grain, last twelve months and the OCL cap.
+"""Monthly history: last twelve months and the OCL cap.
 
-`monthly_sales` is keyed by (loc_num, month).  `history_by_month`
-enforces that grain with an aggregate whose partial step runs before the
-shuffle, so duplicated rows of a hot location are combined map-side; all
-later windows then see at most one row per location and month (at most
-~120,000 months exist in Spark's date range, a few hundred in practice),
-which bounds every per-location window partition.
+`monthly_sales` is keyed by (loc_num, month); duplicates are counted as
+rows, as in the original (check L7 reports them).  The last-12 window is a
+`row_number() <= 12` filter, which Spark turns into a per-partition
+top-12 limit *before* the window's shuffle: a location holding a third of
+all rows still ships at most 12 rows per map task.
 """
 
 from __future__ import annotations
@@ -16,25 +15,14 @@ from pyspark.sql import functions as F
 HIST_MONTHS = 12
 
 
-def history_by_month(monthly_sales: DataFrame) -> DataFrame:
-    """One row per (loc_num, month): days and ending inflation factor.
-
-    Duplicates, which the key forbids, collapse to their maximum (check L7
-    reports them).
-    """
-    return (monthly_sales.select("loc_num", "month", "days", "inflation_factor_ending")
-            .groupBy("loc_num", "month")
-            .agg(F.max("days").alias("days"), F.max("inflation_factor_ending").alias("inflation_factor_ending")))
-
-
 def last_twelve(history: DataFrame) -> DataFrame:
-    """C4: for locations with at least 12 months of history, their last 12 months.
+    """C4: for locations with at least 12 history rows, their last 12 rows by month.
 
-    `row_number() <= 12` lets Spark put a per-partition top-12 limit before
-    the window's shuffle, and a location has >= 12 months exactly when 12
-    rows survive, so no separate count of the full history is needed.
+    A location has >= 12 rows exactly when 12 rows survive the top-12
+    filter, so no separate count over the full history is needed.  Ties
+    on month (duplicate rows) are broken by days, for determinism.
     """
-    by_loc_desc = Window.partitionBy("loc_num").orderBy(F.col("month").desc())
+    by_loc_desc = Window.partitionBy("loc_num").orderBy(F.col("month").desc(), F.col("days").desc())
     ranked = (history.select("loc_num", "month", "days")
               .withColumn("rn", F.row_number().over(by_loc_desc))
               .where(F.col("rn") <= HIST_MONTHS))
@@ -56,13 +44,13 @@ def history_days_by_month_num(history: DataFrame) -> DataFrame:
     return wide.select("loc_num", *[F.col(str(k)).alias(f"hist_{k}") for k in range(1, 13)])
 
 
-def hist_days_for(month_num: str = "month_num") -> F.Column:
-    """The location's historical days for the row's month number."""
-    return F.element_at(F.array(*[F.col(f"hist_{k}") for k in range(1, 13)]), F.col(month_num))
+def hist_array() -> F.Column:
+    """The twelve historical day counts of a location, indexed by month number."""
+    return F.array(*[F.col(f"hist_{k}") for k in range(1, 13)])
 
 
-def cap_days(days_max: str = "days_max", ocl_code: str = "OCL") -> F.Column:
+def cap_days(days_max: str = "days_max", hist_days: str = "hist_days", ocl_code: str = "OCL") -> F.Column:
     """K4: for OCL locations, never more selling days than history shows."""
     is_ocl = F.col("location_type_code").isNotNull() & (F.col("location_type_code") == ocl_code)
-    capped = F.least(F.coalesce(hist_days_for(), F.col(days_max)), F.col(days_max))
+    capped = F.least(F.coalesce(F.col(hist_days), F.col(days_max)), F.col(days_max))
     return F.when(is_ocl, capped).otherwise(F.col(days_max))

@@ -11,7 +11,9 @@ interval up front, so no row is generated just to be filtered out.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daycast.functions.dates import (
@@ -91,15 +93,29 @@ def horizon_offsets() -> F.Column:
     return F.when(ok, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
 
 
-def expand_horizon(locations: DataFrame, keep: list[str] | None = None) -> DataFrame:
+def expand_horizon(locations: DataFrame, keep: list[str] | None = None,
+                   lookups: dict[str, Callable[[Column], Column]] | None = None) -> DataFrame:
     """K3: one row per location row and month of its open horizon.
 
     `keep` lists the location columns carried to the rows (default: all).
+    `lookups` maps output names to functions of the month, evaluated
+    *inside* the generator on the location row: wide per-location values
+    (a growth map, twelve history slots) are read there and never copied
+    into the exploded rows.
     """
-    cols = keep if keep is not None else [c for c in locations.columns]
-    return (locations.select(*cols, F.explode(horizon_offsets()).alias("_offset"))
-            .withColumn("month", F.add_months(month_floor("date_forecast"), F.col("_offset")))
-            .drop("_offset"))
+    cols = keep if keep is not None else list(locations.columns)
+    base = month_floor("date_forecast")
+    if not lookups:
+        return (locations.select(*cols, F.explode(horizon_offsets()).alias("_offset"))
+                .withColumn("month", F.add_months(base, F.col("_offset")))
+                .drop("_offset"))
+
+    def per_month(k: Column) -> Column:
+        m = F.add_months(base, k)
+        return F.struct(m.alias("month"), *[fn(m).alias(name) for name, fn in lookups.items()])
+
+    return (locations.select(*cols, F.explode(F.transform(horizon_offsets(), per_month)).alias("_h"))
+            .select(*cols, "_h.*"))
 
 
 def attach_calendar(horizon: DataFrame, calendar: DataFrame, how: str = "inner") -> DataFrame:

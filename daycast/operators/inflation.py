@@ -31,9 +31,9 @@ from daycast.functions.numeric import clamp, monthly_rate
 from daycast.params import ForecastParams
 
 
-def attach_reported_inflation(locations: DataFrame, history: DataFrame) -> DataFrame:
+def attach_reported_inflation(locations: DataFrame, monthly_sales: DataFrame) -> DataFrame:
     """K10 + E6: the ending inflation factor of the reported month, per location row."""
-    infl = history.select("loc_num", F.col("month").alias("reported_month"),
+    infl = monthly_sales.select("loc_num", F.col("month").alias("reported_month"),
                           F.col("inflation_factor_ending").alias("inflation_factor"))
     return locations.join(infl, ["loc_num", "reported_month"], "left")
 

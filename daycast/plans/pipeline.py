@@ -40,7 +40,7 @@ from daycast.operators import checks
 from daycast.operators.calendar import day_details
 from daycast.operators.days import attach_days_lost, final_days, shutdown_days_lost
 from daycast.operators.factors import attach_factors
-from daycast.operators.history import cap_days, history_by_month, history_days_by_month_num
+from daycast.operators.history import cap_days, hist_array, history_days_by_month_num
 from daycast.operators.horizon import attach_calendar, expand_horizon, prepare_locations
 from daycast.operators.inflation import (
     attach_price_increases,
@@ -50,7 +50,6 @@ from daycast.operators.inflation import (
     inflation_means,
     inflation_path,
     path_by_forecast_date,
-    path_value,
     price_change_uplift,
     shift_months,
     shifted_growth,
@@ -105,22 +104,26 @@ def forecast_sales_days(sales_days_future: DataFrame, monthly_sales: DataFrame,
         return df.observe(obs, *metrics)
 
     calendar = day_details(monthly_sales, params)
-    history = history_by_month(monthly_sales)
-
-    locs = attach_reported_inflation(prepare_locations(sales_days_future, params), history)
+    locs = attach_reported_inflation(prepare_locations(sales_days_future, params), monthly_sales)
 
     # Side branch over the expanded rows: group means (F10) and growth path.
     side = _side_horizon(locs, calendar)
     summary = horizon_summary(side)
     locs = fill_inflation(locs, inflation_means(summary))
     locs = locs.join(path_by_forecast_date(inflation_path(summary, params, scope)), ["date_forecast"], "left")
-    locs = locs.join(history_days_by_month_num(history), ["loc_num"], "left")
+    locs = locs.join(history_days_by_month_num(monthly_sales), ["loc_num"], "left")
     if params.price_change is not None:
         locs = attach_price_increases(locs, price_increases)
     locs = observe(locs, "inputs", checks.input_metrics())
 
     how = "left" if params.calendar_gap == "error" else "inner"
-    rows = attach_calendar(expand_horizon(locs), calendar, how=how)
+    wide = {"inflation_path", *[f"hist_{k}" for k in range(1, 13)]}
+    lookups = {
+        "growth": lambda m: F.element_at(F.col("inflation_path"), m),
+        "hist_days": lambda m: F.element_at(hist_array(), F.month(m)),
+    }
+    rows = attach_calendar(expand_horizon(locs, keep=[c for c in locs.columns if c not in wide], lookups=lookups),
+                           calendar, how=how)
     if params.calendar_gap == "error":
         rows = observe(rows, "calendar", checks.calendar_metrics()).where(F.col("days_max").isNotNull())
     rows = rows.withColumn("days_max", cap_days())
@@ -128,10 +131,9 @@ def forecast_sales_days(sales_days_future: DataFrame, monthly_sales: DataFrame,
     projects = observe(reinvestment_projects, "projects", checks.project_metrics())
     rows = attach_days_lost(rows, shutdown_days_lost(projects, calendar))
 
-    growth = path_value()
+    growth = F.col("growth")
     if params.price_change is not None:
-        rows = rows.withColumn("_growth", growth)
-        growth = shifted_growth("_growth", shift_months(side, params)) * price_change_uplift(params)
+        growth = shifted_growth("growth", shift_months(side, params)) * price_change_uplift(params)
     rows = rows.withColumns({
         "days": final_days(),
         "age": months_between_exact("month_open", "month"),
