@@ -92,6 +92,11 @@ def calendar_key(month: ColumnOrName) -> list[Column]:
     ]
 
 
+def last_day_of(c: ColumnOrName) -> Column:
+    """Last day of the month."""
+    return F.last_day(_c(c))
+
+
 def add_months_floor(month: ColumnOrName, n: ColumnOrName | int) -> Column:
     """Month arithmetic; `n` may be a column."""
     k = F.lit(n) if isinstance(n, int) else _c(n)

@@ -1,4 +1,9 @@
-"""DuckDB SQL of every registered query (see `oracle.py` for the building blocks)."""
+"""DuckDB SQL of every registered query (building blocks in `oracle.py`).
+
+Scalar-function queries use brute force where it is cheap (sales days by
+enumerating the days), so the closed forms used by the engine are checked
+against an independent method.
+"""
 
 from __future__ import annotations
 
@@ -6,8 +11,110 @@ from daycast.plans import oracle as O
 from daycast.sources import fixtures
 
 P = fixtures.FIXTURE_PARAMS
+PC = fixtures.PRICE_CHANGE_PARAMS
+
+
+def _pipe(body: str, p=P, scope: str = "forecast") -> str:
+    return O.with_(O.pipeline_ctes(p, scope), body)
+
+
+def _fix(body: str, extra: list[str] | None = None, p=P) -> str:
+    return O.with_(O.fixture_ctes() + (extra or []), body)
+
+
+LI_DATES = "SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS start_date FROM lineitem"
+
+CLEANSE = f"""SELECT {O.PAD('s_suppkey')} AS loc_num,
+  CASE WHEN s_suppkey % 2 = 0 THEN DATE '2001-04-10' ELSE DATE '2001-04-20' END AS date_forecast,
+  {O.OPEN('s_suppkey')} AS open_date,
+  coalesce(CASE WHEN s_suppkey % 10 = 3 THEN DATE '2001-09-15' + CAST((s_suppkey * 31) % 400 AS INTEGER) END,
+           DATE '2200-01-01') AS close_date,
+  CASE s_suppkey % 3 WHEN 0 THEN 'OCL' WHEN 1 THEN 'STD' ELSE 'MALL' END AS location_type_code,
+  CAST(s_suppkey % 4 AS BIGINT) AS price_group, 120 AS months_predict,
+  CASE s_suppkey % 3 WHEN 0 THEN 'OCL' WHEN 1 THEN 'STD' ELSE 'MALL' END AS concept_code
+FROM supplier"""
+
+SALESDAYS = f"""SELECT l_orderkey, l_linenumber, start_date, end_date,
+  CAST(len(list_filter(generate_series(start_date, end_date, INTERVAL 1 DAY), lambda d: dayofweek(d) <> 0))
+       AS INTEGER) AS sales_days,
+  strftime(start_date, '%A') AS start_weekday,
+  last_day(start_date) AS start_month_end
+FROM (SELECT *, start_date + CAST((l_orderkey * 7 + l_linenumber * 13) % 400 AS INTEGER) AS end_date
+      FROM ({LI_DATES}) a) t"""
+
+MONTHS = f"""SELECT l_orderkey, l_linenumber, start_date, end_date,
+  CAST(datediff('month', date_trunc('month', start_date), date_trunc('month', end_date)) AS INTEGER) AS months,
+  CAST(year(end_date) AS INTEGER) AS end_year, CAST(month(end_date) AS INTEGER) AS end_month,
+  CAST(day(end_date) AS INTEGER) AS end_day
+FROM (SELECT *, start_date + CAST((l_orderkey * 11) % 2000 - 1000 AS INTEGER) AS end_date
+      FROM ({LI_DATES}) a) t"""
+
+CAL_KEYS = f"""SELECT month, CAST(date_trunc('year', month) AS DATE) AS year_start, {O.JAN1('month')} AS jan1_day,
+  CAST(month(month) AS INTEGER) AS month_num, {O.LEAP('month')} AS leap_year
+FROM (SELECT DISTINCT month FROM monthly_sales) m"""
 
 ORACLE_SQL: dict[str, str] = {
+    "cleanse_locations": CLEANSE,
+    "salesdays_between": SALESDAYS,
+    "months_between_exact": MONTHS,
+    "calendar_keys": _fix(CAL_KEYS),
+    "day_details": _fix("SELECT * FROM calendar", O.calendar_ctes(P)),
+    "leap_wednesday": _fix("""SELECT * FROM calendar c WHERE NOT EXISTS (
+  SELECT 1 FROM cal_obs o WHERE o.jan1_day = c.jan1_day AND o.month_num = c.month_num AND o.leap_year = c.leap_year)""",
+                           O.calendar_ctes(P)),
+    "horizon": _fix("SELECT loc_num, date_forecast, month, month_start, month_open, month_close FROM horizon",
+                    [O.locs_cte(P)] + O.horizon_ctes()[:1]),
+    "closing_vision": _fix(f"""SELECT l.loc_num, l.date_forecast, s.close_date, l.month_close,
+  {O.MF("coalesce(s.close_date, DATE '2200-01-01')")} AS month_close_always
+FROM locs l JOIN sdf s ON s.loc_num = l.loc_num AND s.date_forecast = l.date_forecast""", [O.locs_cte(P)]),
+    "horizon_calendar": _pipe("SELECT loc_num, date_forecast, month, days_max FROM hz"),
+    "history_last12": _pipe("SELECT loc_num, month, month_num, days, rn FROM hist_last12"),
+    "history_cap": _pipe("SELECT loc_num, date_forecast, month, days_max, days_capped FROM hz_cap"),
+    "open_close_days": _fix("""SELECT loc_num, date_forecast, open_date, close_date, days_before_open, days_after_close
+FROM locs""", [O.locs_cte(P)]),
+    "shutdown_months": _pipe(f"""SELECT loc_num, shutdown, reopen, month,
+  {O.MBE('month_shutdown', 'month')} AS month_index FROM proj_months"""),
+    "shutdown_days_lost": _pipe("SELECT loc_num, month, days_lost FROM days_lost"),
+    "days_final": _pipe("SELECT loc_num, date_forecast, month, days, days_lost, age FROM hz_days"),
+    "reported_inflation": _pipe("""SELECT l.loc_num, l.date_forecast, l.reported_month,
+  round(h.inflation_factor_ending, 6) AS inflation_factor
+FROM locs l LEFT JOIN hist h ON h.loc_num = l.loc_num AND h.month = l.reported_month"""),
+    "inflation_mean_fill": _pipe("""SELECT loc_num, date_forecast, month, reported_month, concept_code,
+  round(filled_inflation, 6) AS inflation_factor FROM hz_filled"""),
+    "inflation_path": _pipe("SELECT date_forecast, month, round(incremental_time_inflation, 6) AS "
+                            "incremental_time_inflation FROM path"),
+    "inflation_path_backtest": _pipe("SELECT date_forecast, month, round(incremental_time_inflation, 6) AS "
+                                     "incremental_time_inflation FROM path", scope="backtest"),
+    "inflation_applied": _pipe("SELECT loc_num, date_forecast, month, round(inflation_factor, 6) AS inflation_factor "
+                               "FROM hz_applied"),
+    "shifted_increase": O.with_(O.pipeline_ctes(PC, "forecast", increases=False),
+                                "SELECT loc_num, date_forecast, month, round(inflation_factor, 6) AS inflation_factor "
+                                "FROM hz_applied"),
+    "price_change_overlay": _pipe("SELECT loc_num, date_forecast, month, round(inflation_factor, 6) AS "
+                                  "inflation_factor FROM hz_applied", p=PC),
+    "cannibalization": _pipe("SELECT loc_num, date_forecast, month, round(gocf, 6) AS gocf FROM hz_factors"),
+    "cannibalization_backtest": _pipe("SELECT loc_num, date_forecast, month, round(gocf, 6) AS gocf FROM hz_factors",
+                                      scope="backtest"),
+    "reinvestment_factor": _pipe("SELECT loc_num, date_forecast, month, round(reinvestment_factor, 6) AS "
+                                 "reinvestment_factor FROM hz_factors"),
+    "reinvestment_factor_backtest": _pipe("SELECT loc_num, date_forecast, month, round(reinvestment_factor, 6) AS "
+                                          "reinvestment_factor FROM hz_factors", scope="backtest"),
+    "age_groups": _pipe(f"""SELECT loc_num, date_forecast, month, age, age_years, {O.age_group_sql('age_years')} AS age_group
+FROM (SELECT *, round_even(CAST(age AS DOUBLE) / 12, 1) AS age_years FROM hz_factors) f"""),
+    "quality_report": _pipe(f"""
+SELECT 'open_date_missing' AS check_name, CAST(count(*) FILTER (WHERE open_date IS NULL) AS DOUBLE) AS value FROM locs
+UNION ALL SELECT 'type_code_missing', CAST(count(*) FILTER (WHERE location_type_code IS NULL) AS DOUBLE) FROM locs
+UNION ALL SELECT 'project_dates_invalid', CAST(count(*) FILTER (
+  WHERE shutdown IS NULL OR reopen IS NULL OR reopen < shutdown) AS DOUBLE) FROM reinvestment_projects
+UNION ALL SELECT 'inflation_missing', CAST(count(*) FILTER (
+  WHERE inflation_factor IS NULL OR isnan(inflation_factor)) AS DOUBLE) FROM hz_factors
+UNION ALL SELECT 'inflation_max', round(max(inflation_factor), 6) FROM hz_factors
+UNION ALL SELECT 'days_missing', CAST(count(*) FILTER (WHERE days IS NULL) AS DOUBLE) FROM hz_factors
+UNION ALL SELECT 'history_duplicate_keys', CAST(count(*) AS DOUBLE) FROM (
+  SELECT loc_num, month FROM monthly_sales GROUP BY ALL HAVING count(*) > 1) d
+UNION ALL SELECT 'calendar_missing', CAST(count(*) AS DOUBLE) FROM horizon h WHERE NOT EXISTS (
+  SELECT 1 FROM calendar c WHERE c.jan1_day = {O.JAN1('h.month')} AND c.month_num = month(h.month)
+    AND c.leap_year = {O.LEAP('h.month')})"""),
     "forecast_final": O.final_sql(P, "forecast"),
     "forecast_final_backtest": O.final_sql(P, "backtest"),
 }

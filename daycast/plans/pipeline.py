@@ -86,31 +86,32 @@ def _side_horizon(locations: DataFrame, calendar: DataFrame) -> DataFrame:
     return attach_calendar(expand_horizon(locations, keep=cols), calendar)
 
 
-def forecast_sales_days(sales_days_future: DataFrame, monthly_sales: DataFrame,
-                        reinvestment_projects: DataFrame, cannibalization_factors: DataFrame,
-                        reinvestment_factors: DataFrame, params: ForecastParams,
-                        scope: str = "forecast", price_increases: DataFrame | None = None,
-                        with_checks: bool = True) -> ForecastRun:
-    """Sales days, inflation and factors per location, forecast date and month."""
+def plan_forecast(sales_days_future: DataFrame, monthly_sales: DataFrame,
+                  reinvestment_projects: DataFrame, cannibalization_factors: DataFrame,
+                  reinvestment_factors: DataFrame, params: ForecastParams,
+                  scope: str = "forecast", price_increases: DataFrame | None = None,
+                  observe=None) -> dict[str, DataFrame]:
+    """K20 as named lazy stages; `forecast_sales_days` returns the last one.
+
+    Stages: calendar, locations (prepared, with base inflation), summary,
+    means, path, horizon (expanded rows with calendar and OCL cap),
+    base (days, age and filled base inflation per row), output.
+    """
     if scope not in SCOPES:
         raise ValueError(f"scope must be one of {SCOPES}, not {scope!r}")
-    observations: list[Observation] = []
-
-    def observe(df: DataFrame, name: str, metrics) -> DataFrame:
-        if not with_checks:
-            return df
-        obs = Observation(name)
-        observations.append(obs)
-        return df.observe(obs, *metrics)
+    observe = observe or (lambda df, name, metrics: df)
+    st: dict[str, DataFrame] = {}
 
-    calendar = day_details(monthly_sales, params)
-    locs = attach_reported_inflation(prepare_locations(sales_days_future, params), monthly_sales)
+    calendar = st["calendar"] = day_details(monthly_sales, params)
+    locs = st["locations"] = attach_reported_inflation(prepare_locations(sales_days_future, params), monthly_sales)
 
     # Side branch over the expanded rows: group means (F10) and growth path.
     side = _side_horizon(locs, calendar)
-    summary = horizon_summary(side)
-    locs = fill_inflation(locs, inflation_means(summary))
-    locs = locs.join(path_by_forecast_date(inflation_path(summary, params, scope)), ["date_forecast"], "left")
+    summary = st["summary"] = horizon_summary(side)
+    means = st["means"] = inflation_means(summary)
+    path = st["path"] = inflation_path(summary, params, scope)
+    locs = fill_inflation(locs, means)
+    locs = locs.join(path_by_forecast_date(path), ["date_forecast"], "left")
     locs = locs.join(history_days_by_month_num(monthly_sales), ["loc_num"], "left")
     if params.price_change is not None:
         locs = attach_price_increases(locs, price_increases)
@@ -126,21 +127,46 @@ def forecast_sales_days(sales_days_future: DataFrame, monthly_sales: DataFrame,
                            calendar, how=how)
     if params.calendar_gap == "error":
         rows = observe(rows, "calendar", checks.calendar_metrics()).where(F.col("days_max").isNotNull())
-    rows = rows.withColumn("days_max", cap_days())
+    rows = st["horizon"] = rows.withColumns({"days_uncapped": F.col("days_max"), "days_max": cap_days()})
 
     projects = observe(reinvestment_projects, "projects", checks.project_metrics())
     rows = attach_days_lost(rows, shutdown_days_lost(projects, calendar))
+    rows = st["base"] = rows.withColumns({
+        "days": final_days(),
+        "age": months_between_exact("month_open", "month"),
+    })
 
     growth = F.col("growth")
     if params.price_change is not None:
         growth = shifted_growth("growth", shift_months(side, params)) * price_change_uplift(params)
-    rows = rows.withColumns({
-        "days": final_days(),
-        "age": months_between_exact("month_open", "month"),
-        "inflation_factor": F.col("inflation_factor") * growth,
-    })
+    rows = rows.withColumn("inflation_factor", F.col("inflation_factor") * growth)
 
     rows = attach_factors(rows, cannibalization_factors, reinvestment_factors, params, scope)
     rows = rows.withColumn("age_years", age_years("age")).withColumn("age_group", age_group("age_years"))
-    out = observe(rows.select(*FINAL_COLUMNS), "output", checks.output_metrics())
-    return ForecastRun(out, params, observations)
+    st["output"] = observe(rows.select(*FINAL_COLUMNS), "output", checks.output_metrics())
+    return st
+
+
+def forecast_sales_days(sales_days_future: DataFrame, monthly_sales: DataFrame,
+                        reinvestment_projects: DataFrame, cannibalization_factors: DataFrame,
+                        reinvestment_factors: DataFrame, params: ForecastParams,
+                        scope: str = "forecast", price_increases: DataFrame | None = None,
+                        with_checks: bool = True) -> ForecastRun:
+    """Sales days, inflation and factors per location, forecast date and month.
+
+    Returns the lazy output with the observations of checks L1-L6 (and L7
+    coverage when `calendar_gap="error"`); call `ForecastRun.check()` after
+    the action.
+    """
+    observations: list[Observation] = []
+
+    def observe(df: DataFrame, name: str, metrics) -> DataFrame:
+        if not with_checks:
+            return df
+        obs = Observation(name)
+        observations.append(obs)
+        return df.observe(obs, *metrics)
+
+    st = plan_forecast(sales_days_future, monthly_sales, reinvestment_projects, cannibalization_factors,
+                       reinvestment_factors, params, scope, price_increases, observe)
+    return ForecastRun(st["output"], params, observations)
