@@ -24,14 +24,14 @@ Physical shape (what the plan does at scale):
 * Rows of the horizon are shuffled once, on (loc_num, month), for the
   three lookups keyed that way; backtests add one window shuffle on
   (loc_num, date_forecast), whose partitions hold <= months_predict + 1 rows.
-* No action runs inside; checks are `observe()` metrics of the one action.
+* No action runs inside; checks are small explicit aggregates (see ForecastRun).
 """
 
 from __future__ import annotations
 
 import dataclasses
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daycast.functions.numeric import age_group, age_years
@@ -60,25 +60,49 @@ from daycast.sources.schemas import FINAL_COLUMNS
 
 @dataclasses.dataclass
 class ForecastRun:
-    """A lazily planned forecast and the observations its checks ride on."""
+    """A lazily planned forecast and its data-quality checks.
+
+    Checks are explicit aggregates, never blocking listeners: the input
+    checks (L1-L3) aggregate the small input tables; the output checks
+    (L4-L6, and L7 coverage with `calendar_gap="error"`) aggregate the
+    written result when the run is written with `write()`, or the lazy
+    output otherwise.
+    """
 
     output: DataFrame
     params: ForecastParams
-    observations: list[Observation]
+    input_checks: list[DataFrame]
+    output_metrics: list = dataclasses.field(default_factory=list)
+    _written: DataFrame | None = None
 
     def metrics(self) -> dict:
-        """Metric values; only valid after an action on `output` has run."""
         out: dict = {}
-        for obs in self.observations:
-            out.update(obs.get)
+        for df in self.input_checks:
+            out.update(df.first().asDict())
+        target = self._written if self._written is not None else self.output
+        out.update(target.agg(*self.output_metrics).first().asDict())
         return out
 
     def check(self) -> None:
-        """Raise DataQualityError if any check failed (call after the action)."""
+        """Raise DataQualityError if any check failed."""
         failed = checks.failures(self.metrics(), self.params)
         if failed:
             raise checks.DataQualityError("; ".join(failed))
 
+    def write(self, path: str, fmt: str = "parquet", **options) -> None:
+        """Write to `path + '.staging'`, check, then move the result to `path`.
+
+        A failing check raises and leaves the staging copy for inspection;
+        nothing is published.
+        """
+        from daycast.sources.io import publish, write_output
+        staging = path.rstrip("/") + ".staging"
+        write_output(self.output, staging, fmt=fmt, **options)
+        reader = self.output.sparkSession.read
+        self._written = reader.parquet(staging) if fmt == "parquet" else reader.option("header", True).csv(staging)
+        self.check()
+        publish(self.output.sparkSession, staging, path)
+
 
 def _side_horizon(locations: DataFrame, calendar: DataFrame) -> DataFrame:
     cols = ["loc_num", "date_forecast", "month_start", "months_predict", "month_open", "month_close",
@@ -103,7 +127,9 @@ def plan_forecast(sales_days_future: DataFrame, monthly_sales: DataFrame,
     st: dict[str, DataFrame] = {}
 
     calendar = st["calendar"] = day_details(monthly_sales, params)
-    locs = st["locations"] = attach_reported_inflation(prepare_locations(sales_days_future, params), monthly_sales)
+    prepared = prepare_locations(sales_days_future, params)
+    observe(prepared, "inputs", checks.input_metrics())
+    locs = st["locations"] = attach_reported_inflation(prepared, monthly_sales)
 
     # Side branch over the expanded rows: group means (F10) and growth path.
     side = _side_horizon(locs, calendar)
@@ -115,7 +141,6 @@ def plan_forecast(sales_days_future: DataFrame, monthly_sales: DataFrame,
     locs = locs.join(history_days_by_month_num(monthly_sales), ["loc_num"], "left")
     if params.price_change is not None:
         locs = attach_price_increases(locs, price_increases)
-    locs = observe(locs, "inputs", checks.input_metrics())
 
     how = "left" if params.calendar_gap == "error" else "inner"
     wide = {"inflation_path", *[f"hist_{k}" for k in range(1, 13)]}
@@ -126,7 +151,8 @@ def plan_forecast(sales_days_future: DataFrame, monthly_sales: DataFrame,
     rows = attach_calendar(expand_horizon(locs, keep=[c for c in locs.columns if c not in wide], lookups=lookups),
                            calendar, how=how)
     if params.calendar_gap == "error":
-        rows = observe(rows, "calendar", checks.calendar_metrics()).where(F.col("days_max").isNotNull())
+        st["coverage"] = rows
+        rows = rows.where(F.col("days_max").isNotNull())
     rows = st["horizon"] = rows.withColumns({"days_uncapped": F.col("days_max"), "days_max": cap_days()})
 
     projects = observe(reinvestment_projects, "projects", checks.project_metrics())
@@ -143,7 +169,7 @@ def plan_forecast(sales_days_future: DataFrame, monthly_sales: DataFrame,
 
     rows = attach_factors(rows, cannibalization_factors, reinvestment_factors, params, scope)
     rows = rows.withColumn("age_years", age_years("age")).withColumn("age_group", age_group("age_years"))
-    st["output"] = observe(rows.select(*FINAL_COLUMNS), "output", checks.output_metrics())
+    st["output"] = rows.select(*FINAL_COLUMNS)
     return st
 
 
@@ -158,15 +184,21 @@ def forecast_sales_days(sales_days_future: DataFrame, monthly_sales: DataFrame,
     coverage when `calendar_gap="error"`); call `ForecastRun.check()` after
     the action.
     """
-    observations: list[Observation] = []
+    input_checks: list[DataFrame] = []
+    out_metrics: list = list(checks.output_metrics())
 
     def observe(df: DataFrame, name: str, metrics) -> DataFrame:
-        if not with_checks:
-            return df
-        obs = Observation(name)
-        observations.append(obs)
-        return df.observe(obs, *metrics)
+        if name == "calendar":
+            out_metrics.extend(metrics)
+        elif with_checks:
+            input_checks.append(df.agg(*metrics))
+        return df
 
     st = plan_forecast(sales_days_future, monthly_sales, reinvestment_projects, cannibalization_factors,
                        reinvestment_factors, params, scope, price_increases, observe)
-    return ForecastRun(st["output"], params, observations)
+    output = st["output"]
+    if params.calendar_gap == "error":
+        # coverage is measured on the rows before months without calendar are dropped
+        input_checks.append(st["coverage"].agg(*checks.calendar_metrics()))
+        out_metrics[:] = list(checks.output_metrics())
+    return ForecastRun(output, params, input_checks, out_metrics if with_checks else [F.count(F.lit(1)).alias("rows")])

@@ -78,8 +78,11 @@ def read_input(spark: SparkSession, name: str, path: str, fmt: str = "csv",
                params: ForecastParams | None = None) -> DataFrame:
     """A1: read one input table (CSV with header, or Parquet) and cleanse it."""
     if fmt == "csv":
-        raw = (spark.read.schema(schemas.raw_text_schema(name))
-               .option("header", True).option("mode", "FAILFAST").csv(path))
+        # Header-named text columns: no schema inference, optional columns may be absent.
+        raw = spark.read.option("header", True).option("inferSchema", False).option("mode", "FAILFAST").csv(path)
+        missing = {f.name for f in schemas.INPUTS[name].fields if not f.nullable} - set(raw.columns)
+        if missing:
+            raise ValueError(f"{path}: missing required columns {sorted(missing)}")
     elif fmt == "parquet":
         raw = spark.read.parquet(path)
     else:
@@ -127,6 +130,18 @@ def write_output(df: DataFrame, path: str, fmt: str = "parquet", single_file: bo
         raise ValueError(f"unsupported format {fmt!r}")
 
 
+def publish(spark: SparkSession, staging: str, path: str) -> None:
+    """Replace `path` by the directory `staging` (Hadoop FileSystem rename)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    src, dst = jvm.org.apache.hadoop.fs.Path(staging), jvm.org.apache.hadoop.fs.Path(path)
+    fs = src.getFileSystem(conf)
+    if fs.exists(dst):
+        fs.delete(dst, True)
+    if not fs.rename(src, dst):
+        raise OSError(f"could not move {staging} to {path}")
+
+
 def preview(df: DataFrame, n: int = 5) -> DataFrame:
     """A4: the first rows, as a lazy DataFrame (never inside an operator)."""
     return df.limit(n)
