@@ -1,0 +1,9 @@
+"""Incremental runs of the batch forecast over arriving forecast requests.
+
+The original job has no streaming operators (no watermark, window or state);
+this package only feeds new location rows through the same batch plan.
+"""
+
+from daycast.streaming.incremental import forecast_requests_stream
+
+__all__ = ["forecast_requests_stream"]

@@ -1,0 +1,36 @@
+"""Forecast requests (rows of `sales_days_future`) arriving as parquet files.
+
+Each micro-batch of new requests runs the batch plan against the stored
+history and factor tables.  The sink is idempotent: batch `e` overwrites
+`<out>/batch=e`, so a micro-batch re-run after a failure replaces its own
+output instead of duplicating it.  Progress is kept in a checkpoint under
+the cluster's `spark.checkpoint.dir`.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+from daycast.params import ForecastParams
+from daycast.plans.pipeline import forecast_sales_days
+from daycast.session import ensure_checkpoint_dir
+from daycast.sources.schemas import SALES_DAYS_FUTURE
+
+
+def forecast_requests_stream(spark: SparkSession, requests_dir: str, tables: dict[str, DataFrame],
+                             params: ForecastParams, out_dir: str, scope: str = "forecast",
+                             name: str = "daycast-requests", available_now: bool = True) -> StreamingQuery:
+    """Start the incremental forecast; returns the running query."""
+    requests = spark.readStream.schema(SALES_DAYS_FUTURE).parquet(requests_dir)
+    checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}"
+
+    def run_batch(batch: DataFrame, epoch_id: int) -> None:
+        run = forecast_sales_days(batch, tables["monthly_sales"], tables["reinvestment_projects"],
+                                  tables["cannibalization_factors"], tables["reinvestment_factors"],
+                                  params, scope, tables.get("price_increases"))
+        run.write(f"{out_dir.rstrip('/')}/batch={epoch_id}")
+
+    writer = requests.writeStream.queryName(name).foreachBatch(run_batch).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()

@@ -1,0 +1,26 @@
+"""Incremental forecast of arriving requests equals the batch forecast."""
+
+import uuid
+
+from daycast import forecast_sales_days
+from daycast.sources import fixtures
+from daycast.streaming import forecast_requests_stream
+
+SF = "/root/testdata/sf0.001"
+P = fixtures.FIXTURE_PARAMS
+
+
+def test_requests_stream_matches_batch(spark, tmp_path):
+    tables = fixtures.inputs(spark, SF)
+    sdf = tables["sales_days_future"]
+    req = tmp_path / "requests"
+    sdf.where("loc_num < '00005'").write.parquet(str(req / "part1"))
+    sdf.where("loc_num >= '00005'").write.parquet(str(req / "part2"))
+    q = forecast_requests_stream(spark, str(req / "*"), tables, P, str(tmp_path / "out"),
+                                 name=f"daycast-test-{uuid.uuid4().hex[:6]}")
+    q.awaitTermination(300)
+    got = spark.read.parquet(str(tmp_path / "out")).drop("batch")
+    want = forecast_sales_days(sdf, tables["monthly_sales"], tables["reinvestment_projects"],
+                               tables["cannibalization_factors"], tables["reinvestment_factors"], P).output
+    assert got.count() == want.count()
+    assert got.select(sorted(want.columns)).exceptAll(want.select(sorted(want.columns))).count() == 0
