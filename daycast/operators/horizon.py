@@ -93,6 +93,20 @@ def horizon_offsets() -> F.Column:
     return F.when(ok, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
 
 
+def spread_for_explode(locations: DataFrame) -> DataFrame:
+    """Hash location rows over `spark.sql.shuffle.partitions` before the explode.
+
+    Adaptive execution sizes partitions from the table it has measured, and
+    the location table is ~121 times smaller than what the explode makes of
+    it: it would coalesce it to a few partitions and run the whole horizon
+    in a few tasks.  An explicit partition count is not coalesced, so the
+    explode gets the cluster's configured parallelism.  (loc_num,
+    date_forecast) is unique per location row, so no key can skew this.
+    """
+    n = int(locations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return locations.repartition(n, "loc_num", "date_forecast")
+
+
 def expand_horizon(locations: DataFrame, keep: list[str] | None = None,
                    lookups: dict[str, Callable[[Column], Column]] | None = None) -> DataFrame:
     """K3: one row per location row and month of its open horizon.

@@ -41,7 +41,7 @@ from daycast.operators.calendar import day_details
 from daycast.operators.days import attach_days_lost, final_days, shutdown_days_lost
 from daycast.operators.factors import attach_factors
 from daycast.operators.history import cap_days, hist_array, history_days_by_month_num
-from daycast.operators.horizon import attach_calendar, expand_horizon, prepare_locations
+from daycast.operators.horizon import attach_calendar, expand_horizon, prepare_locations, spread_for_explode
 from daycast.operators.inflation import (
     attach_price_increases,
     attach_reported_inflation,
@@ -107,7 +107,7 @@ class ForecastRun:
 def _side_horizon(locations: DataFrame, calendar: DataFrame) -> DataFrame:
     cols = ["loc_num", "date_forecast", "month_start", "months_predict", "month_open", "month_close",
             "reported_month", "concept_code", "inflation_factor"]
-    return attach_calendar(expand_horizon(locations, keep=cols), calendar)
+    return attach_calendar(expand_horizon(spread_for_explode(locations.select(*cols)), keep=cols), calendar)
 
 
 def plan_forecast(sales_days_future: DataFrame, monthly_sales: DataFrame,
@@ -148,7 +148,8 @@ def plan_forecast(sales_days_future: DataFrame, monthly_sales: DataFrame,
         "growth": lambda m: F.element_at(F.col("inflation_path"), m),
         "hist_days": lambda m: F.element_at(hist_array(), F.month(m)),
     }
-    rows = attach_calendar(expand_horizon(locs, keep=[c for c in locs.columns if c not in wide], lookups=lookups),
+    rows = attach_calendar(expand_horizon(spread_for_explode(locs), keep=[c for c in locs.columns if c not in wide],
+                                          lookups=lookups),
                            calendar, how=how)
     if params.calendar_gap == "error":
         st["coverage"] = rows
