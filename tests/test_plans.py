@@ -79,3 +79,31 @@ def test_checks_pass_on_fixture(stored_inputs):
     run.check()
     m = run.metrics()
     assert m["days_missing"] == 0 and m["inflation_missing"] == 0 and m["inflation_max"] < 10
+
+
+def test_last_twelve_limits_rows_before_the_shuffle(stored_inputs):
+    from daycast.operators.history import history_days_by_month_num
+    plan = _plan(history_days_by_month_num(stored_inputs["monthly_sales"]))
+    lines = plan.split("\n")
+    partial = [i for i, line in enumerate(lines) if "WindowGroupLimit" in line and "Partial" in line]
+    assert partial, plan
+    # the partial top-12 sits below (i.e. before) the first shuffle on loc_num
+    exchanges = [i for i, line in enumerate(lines) if "Exchange hashpartitioning(loc_num" in line]
+    assert exchanges and min(exchanges) < partial[0]
+
+
+def test_calendar_gap_error_reports_coverage(stored_inputs):
+    from daycast.operators.checks import DataQualityError
+    run = _run(stored_inputs, params=P.replace(calendar_gap="error"))
+    ok = _run(stored_inputs)
+    assert run.output.count() == ok.output.count()   # same rows; the gaps are reported, not kept
+    with pytest.raises(DataQualityError, match="L7"):
+        run.check()
+
+
+def test_staged_write_publishes_after_checks(spark, stored_inputs, tmp_path):
+    run = _run(stored_inputs)
+    target = str(tmp_path / "forecast")
+    run.write(target)
+    assert spark.read.parquet(target).count() == run.output.count()
+    assert not (tmp_path / "forecast.staging").exists()
