@@ -1,10 +1,11 @@
-"""Data-quality checks.
-
-The original job stopped the process on bad input, each check being its
-own Spark action.  Here the checks ride on the run's single action as
-`observe()` metrics (L1-L6), and raise `DataQualityError` afterwards; the
-same counts are also available as an ordinary one-row DataFrame
-(`quality_report`) for auditing.
+"""Data-quality checks.
+
+The original job stopped the process on bad input.  Here each check is a
+small explicit aggregate: input checks over the (small) location and
+project tables, output checks over the written result (see
+`ForecastRun.write`), raising `DataQualityError`.  The same values are
+available as rows (`quality_report`) for auditing, and rows that cannot
+be forecast can be split off with `rejects`.
 """
 
 from __future__ import annotations
@@ -19,9 +20,21 @@ class DataQualityError(RuntimeError):
     """A run's inputs or output failed a data-quality check."""
 
 
+def required_missing() -> Column:
+    """A location row without key or forecast date cannot be forecast."""
+    return F.col("loc_num").isNull() | F.col("date_forecast").isNull()
+
+
+def rejects(sales_days_future: DataFrame) -> DataFrame:
+    """The location rows the forecast cannot use (missing key, forecast
+    date or open date), for a rejects table."""
+    return sales_days_future.where(required_missing() | F.col("open_date").isNull())
+
+
 def input_metrics() -> list[Column]:
-    """L1, L3 on location rows."""
+    """C1, L1, L3 on location rows."""
     return [
+        F.count_if(required_missing()).alias("required_missing"),
         F.count_if(F.col("open_date").isNull()).alias("open_date_missing"),
         F.count_if(F.col("location_type_code").isNull() | F.col("concept_code").isNull())
         .alias("type_code_missing"),
@@ -52,6 +65,8 @@ def calendar_metrics() -> list[Column]:
 def failures(metrics: dict, params: ForecastParams) -> list[str]:
     """Human-readable list of failed checks for collected metric values."""
     out = []
+    if metrics.get("required_missing"):
+        out.append(f"{metrics['required_missing']} location rows miss the key or forecast date (C1)")
     if metrics.get("open_date_missing"):
         out.append(f"{metrics['open_date_missing']} location rows miss an open date (L1)")
     if metrics.get("project_dates_invalid"):

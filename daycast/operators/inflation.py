@@ -112,7 +112,7 @@ def path_by_forecast_date(path: DataFrame) -> DataFrame:
 
 def path_value() -> Column:
     """The growth of the row's month, from the row's forecast-date map."""
-    return F.element_at(F.col("inflation_path"), F.col("month"))
+    return F.try_element_at(F.col("inflation_path"), F.col("month"))
 
 
 def shift_months(horizon: DataFrame, params: ForecastParams) -> Column:

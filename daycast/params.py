@@ -20,7 +20,7 @@ class ForecastParams:
     # Cut-off: actuals of a month are known from this date on (replaces "today").
     as_of: dt.date
 
-    # Fixed values of the business rules (must equal the reference):
+    # Fixed values of the original business rules:
     # actuals of month m are complete on day 16 of month m+1; opening, closing
     # and reinvestment projects are known 12 months ahead; annualised
     # inflation 1.01 (live forecast) or 1.05222 (backtest); long-run

@@ -102,7 +102,9 @@ FROM locs l LEFT JOIN hist h ON h.loc_num = l.loc_num AND h.month = l.reported_m
     "age_groups": _pipe(f"""SELECT loc_num, date_forecast, month, age, age_years, {O.age_group_sql('age_years')} AS age_group
 FROM (SELECT *, round_even(CAST(age AS DOUBLE) / 12, 1) AS age_years FROM hz_factors) f"""),
     "quality_report": _pipe(f"""
-SELECT 'open_date_missing' AS check_name, CAST(count(*) FILTER (WHERE open_date IS NULL) AS DOUBLE) AS value FROM locs
+SELECT 'required_missing' AS check_name, CAST(count(*) FILTER (
+  WHERE loc_num IS NULL OR date_forecast IS NULL) AS DOUBLE) AS value FROM locs
+UNION ALL SELECT 'open_date_missing', CAST(count(*) FILTER (WHERE open_date IS NULL) AS DOUBLE) FROM locs
 UNION ALL SELECT 'type_code_missing', CAST(count(*) FILTER (WHERE location_type_code IS NULL) AS DOUBLE) FROM locs
 UNION ALL SELECT 'project_dates_invalid', CAST(count(*) FILTER (
   WHERE shutdown IS NULL OR reopen IS NULL OR reopen < shutdown) AS DOUBLE) FROM reinvestment_projects

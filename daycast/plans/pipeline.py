@@ -145,7 +145,7 @@ def plan_forecast(sales_days_future: DataFrame, monthly_sales: DataFrame,
     how = "left" if params.calendar_gap == "error" else "inner"
     wide = {"inflation_path", *[f"hist_{k}" for k in range(1, 13)]}
     lookups = {
-        "growth": lambda m: F.element_at(F.col("inflation_path"), m),
+        "growth": lambda m: F.try_element_at(F.col("inflation_path"), m),
         "hist_days": lambda m: F.element_at(hist_array(), F.month(m)),
     }
     rows = attach_calendar(expand_horizon(spread_for_explode(locs), keep=[c for c in locs.columns if c not in wide],

@@ -226,3 +226,17 @@ def test_horizon_counts_down_like_sequence(spark):
     months = sorted(r.month for r in expand_horizon(prepare_locations(sdf, P)).collect())
     # sequence(-1, -1) = [-1]: only the previous month
     assert months == [D(2001, 3, 1)]
+
+
+def test_rows_without_key_or_date_are_rejected(spark):
+    from daycast.operators.checks import rejects
+    sdf = spark.createDataFrame([(None, D(2016, 6, 20), D(2010, 1, 1), None, "STD", None, 120),
+                                 ("A", None, D(2010, 1, 1), None, "STD", None, 120),
+                                 ("B", D(2016, 6, 20), None, None, "STD", None, 120),
+                                 ("C", D(2016, 6, 20), D(2010, 1, 1), None, "STD", None, 120)], SDF)
+    assert sorted(str(r.loc_num) for r in rejects(sdf).collect()) == ["A", "B", "None"]
+    inp = _pipeline_inputs(spark)
+    inp["sales_days_future"] = sdf
+    run = forecast_sales_days(**inp, params=P)
+    with pytest.raises(DataQualityError, match="C1"):
+        run.check()
