@@ -8,6 +8,7 @@ instead of building an array of dates per row.
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -24,6 +25,19 @@ def _c(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
+
+
+def _names(*cs: ColumnOrName) -> bool:
+    """True when every argument is a plain column name: the expression can then be
+    sent as one SQL string (one call to the JVM instead of one per sub-expression)."""
+    return all(isinstance(c, str) and _IDENT.match(c) for c in cs)
+
+
+_WEEKDAYS_SQL = "array(" + ", ".join(f"'{n}'" for n in ("Sunday", "Monday", "Tuesday", "Wednesday",
+                                                       "Thursday", "Friday", "Saturday")) + ")"
+
+
 def lit_date(d: dt.date | str) -> Column:
     if isinstance(d, str):
         d = dt.date.fromisoformat(d)
@@ -42,17 +56,23 @@ def year_floor(c: ColumnOrName) -> Column:
 
 def weekday_name(c: ColumnOrName) -> Column:
     """Full English weekday name, locale independent."""
+    if _names(c):
+        return F.expr(f"element_at({_WEEKDAYS_SQL}, dayofweek({c}))")
     return F.element_at(F.array(*[F.lit(n) for n in WEEKDAY_NAMES]), F.dayofweek(_c(c)))
 
 
 def is_leap_year(c: ColumnOrName) -> Column:
     """Gregorian leap-year test of the year of a date."""
+    if _names(c):
+        return F.expr(f"(year({c}) % 4 = 0) AND ((year({c}) % 100 <> 0) OR (year({c}) % 400 = 0))")
     y = F.year(_c(c))
     return ((y % 4) == 0) & (((y % 100) != 0) | ((y % 400) == 0))
 
 
 def months_between_exact(start: ColumnOrName, end: ColumnOrName) -> Column:
     """Whole calendar months from start to end, days ignored."""
+    if _names(start, end):
+        return F.expr(f"CAST((year({end}) - year({start})) * 12 + (month({end}) - month({start})) AS INT)")
     s, e = _c(start), _c(end)
     return ((F.year(e) - F.year(s)) * 12 + (F.month(e) - F.month(s))).cast("int")
 
@@ -66,6 +86,10 @@ def sales_days_between(start: ColumnOrName, end: ColumnOrName) -> Column:
     side of 1970.  Null in, null out.  For start > end the value is
     meaningless; callers check that pairs are ordered (L2).
     """
+    if _names(start, end):
+        a, b = start, end
+        return F.expr(f"CAST(datediff({b}, {a}) + 1 - (FLOOR((unix_date({b}) + 4) / 7) "
+                      f"- FLOOR((unix_date({a}) + 3) / 7)) AS INT)")
     s, e = _c(start), _c(end)
     us, ue = F.unix_date(s), F.unix_date(e)
     sundays = F.floor((ue + 4) / 7) - F.floor((us + 3) / 7)
@@ -84,6 +108,13 @@ def calendar_key(month: ColumnOrName) -> list[Column]:
     Months with equal keys have the same weekday layout, so they share one
     calendar entry.
     """
+    if _names(month):
+        m = month
+        return [
+            F.expr(f"element_at({_WEEKDAYS_SQL}, dayofweek(trunc({m}, 'year')))").alias("jan1_day"),
+            F.expr(f"month({m})").alias("month_num"),
+            is_leap_year(m).alias("leap_year"),
+        ]
     m = _c(month)
     return [
         weekday_name(year_floor(m)).alias("jan1_day"),
