@@ -57,7 +57,7 @@ def prepare_locations(sales_days_future: DataFrame, params: ForecastParams) -> D
     """
     close = F.coalesce(F.col("close_date"), F.lit(FAR_FUTURE))
     mp = F.col("months_predict") if "months_predict" in sales_days_future.columns else F.lit(None)
-    return sales_days_future.select(
+    base = sales_days_future.select(
         "loc_num",
         "date_forecast",
         "open_date",
@@ -71,8 +71,13 @@ def prepare_locations(sales_days_future: DataFrame, params: ForecastParams) -> D
         month_floor("open_date").alias("month_open"),
         closing_month(params).alias("month_close"),
         reported_month("date_forecast", params.reported_day).alias("reported_month"),
-        F.coalesce(sales_days_between(month_floor("open_date"), "open_date"), F.lit(0)).alias("days_before_open"),
-        F.coalesce(sales_days_between(close, F.last_day(close)), F.lit(0)).alias("days_after_close"),
+        F.last_day(close).alias("_close_month_end"),
+    )
+    # second projection on named columns (collapsed into one by the optimizer)
+    return base.select(
+        *[c for c in base.columns if c != "_close_month_end"],
+        F.coalesce(sales_days_between("month_open", "open_date"), F.lit(0)).alias("days_before_open"),
+        F.coalesce(sales_days_between("close_date", "_close_month_end"), F.lit(0)).alias("days_after_close"),
     )
 
 
