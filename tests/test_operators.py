@@ -240,3 +240,15 @@ def test_rows_without_key_or_date_are_rejected(spark):
     run = forecast_sales_days(**inp, params=P)
     with pytest.raises(DataQualityError, match="C1"):
         run.check()
+
+
+def test_round_factors_option_and_top_age_bin(spark):
+    h = spark.createDataFrame([("A", D(2001, 1, 10), D(2001, 2, 1))], "loc_num string, date_forecast date, month date")
+    cann = spark.createDataFrame([("A", D(2001, 2, 1), 0.1234567890123456789)], FACT)
+    reinv = spark.createDataFrame([("A", D(2001, 2, 1), 0.026)], RFACT)
+    r = attach_factors(h, cann, reinv, P.replace(round_factors=True), "forecast").first()
+    assert r.reinvestment_factor == 0.03 and r.gocf == round(0.1234567890123456789, 15)
+    r = attach_factors(h, cann, reinv, P, "forecast").first()
+    assert r.reinvestment_factor == 0.026
+    y = spark.createDataFrame([(600,), (1199,)], "age int").select(age_years("age").alias("y"))
+    assert [r[0] for r in y.select(age_group("y")).collect()] == ["50+", "50+"]  # 99.9 years is in [50, 100)
