@@ -107,3 +107,16 @@ def test_staged_write_publishes_after_checks(spark, stored_inputs, tmp_path):
     run.write(target)
     assert spark.read.parquet(target).count() == run.output.count()
     assert not (tmp_path / "forecast.staging").exists()
+
+
+def test_results_do_not_depend_on_session_time_zone(spark):
+    from daycast.plans.queries import forecast_final
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        utc = forecast_final(spark, SF)
+        spark.conf.set("spark.sql.session.timeZone", "Pacific/Kiritimati")
+        far = forecast_final(spark, SF)
+        assert utc.count() == far.count() and utc.exceptAll(far).count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
