@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from daycast.llm import substring_dedup
 from daycast.llm.bpe import op9_bpe
+from daycast.llm.brown_lm import op6_brown_lm
 from daycast.llm.decontaminate import op5_decontaminate
 from daycast.llm.fingerprints import op10_fingerprints
 from daycast.llm.langid import op7_language
@@ -16,6 +17,7 @@ QUERIES = {
     "op3_substring_dedup": substring_dedup.op3_substring_dedup,
     "op4_token_counts": op4_token_counts,
     "op5_decontaminate": op5_decontaminate,
+    "op6_brown_lm": op6_brown_lm,
     "op7_language": op7_language,
     "op8_secrets": op8_secrets,
     "op9_bpe": op9_bpe,
