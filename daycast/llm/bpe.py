@@ -229,26 +229,30 @@ def bpe_decode(encoded: DataFrame, tokenizer: str | None = None) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
-def bpe_round_trip(docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id",
+def bpe_round_trip(docs: DataFrame, tokenizer: str | None = None, with_ids: bool = False, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
-    """Encode, decode, and keep digests of both: one pass, nothing wide leaves the task."""
+    """Encode, decode the ids, and return digests of both (and the ids): one pass."""
     shared = share(docs.sparkSession, tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = model_of(shared)
         for b in batches:
-            n, ids_sha, text_sha = [], [], []
+            n, ids_sha, text_sha, kept = [], [], [], []
             for t in b.column(1):
                 ids = model.encode(t.as_py() or "")
                 n.append(len(ids) // 4)
                 ids_sha.append(hashlib.sha256(ids).hexdigest())
                 text_sha.append(hashlib.sha256(model.decode(ids)).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                if with_ids:
+                    kept.append(ids)
+            cols = [b.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
+            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+            if with_ids:
+                cols, names = [*cols, pa.array(kept, pa.binary())], [*names, "ids"]
+            yield pa.RecordBatch.from_arrays(cols, names)
 
     return id_text(docs, id_col, text_col).mapInArrow(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * with_ids)
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

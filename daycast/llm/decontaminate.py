@@ -236,5 +236,26 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     return found
 
 
+def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The documents, all columns, that hold no leak of any item."""
+    spark, place = docs.sparkSession, docs.columns.index(text_col)
+    read, schema = id_text(docs, id_col, text_col), docs.schema
+    for block in _blocks(benchmark, item_id_col, item_text_col):
+        block.choose_seeds(*_word_counts(read, spark.sparkContext.broadcast(block)))
+        shared = spark.sparkContext.broadcast(block)
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                clean = np.ones(b.num_rows, bool)
+                for lo, _, data, off in text_slices(b.column(place)):
+                    for leak in _leaks(shared.value, *plain_words(data, off)):
+                        clean[lo + leak[0]] = False
+                yield b.filter(pa.array(clean))
+
+        docs = docs.mapInArrow(run, schema)
+    return docs
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

@@ -34,6 +34,8 @@ SEGMENT, HIDDEN = 64, 8
 SAMPLE_PER_LANGUAGE, MAX_LANGUAGES, MAX_SAMPLE, PASSAGE = 600, 64, 12_000, 512
 STEPS, BATCH, RATE = 220, 192, 0.02
 UND = "und"
+#: Below this mean probability a document counts as in none of the languages.
+LEAST_SCORE = 0.3
 
 
 def _bend(x: np.ndarray) -> np.ndarray:
@@ -227,30 +229,46 @@ def fit_language_model(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return train(training_sample(labelled))
 
 
+def labels(net: BiGRU | None, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(language, score) of each text."""
+    names = np.array([*(net.languages if net else []), UND], dtype=object)
+    best, score = np.full(len(texts), -1), np.zeros(len(texts))
+    if net is not None:
+        for lo, hi, data, off in text_slices(texts):
+            p = net.document_probabilities(data, off)
+            best[lo:hi], score[lo:hi] = p.argmax(1), p.max(1)
+        mute = ~pc.fill_null(pc.match_substring_regex(texts, r"\p{L}"), False).to_numpy(zero_copy_only=False)
+        best[mute], score[mute] = -1, 0
+    return names[best], np.clip(score, 0, 1)
+
+
 def predict_language(docs: DataFrame, model: BiGRU | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, lang_pred, score of every whole text; only the text is read."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = shared.value
-        names = np.array([*(net.languages if net else []), UND], dtype=object)
         for b in batches:
-            texts = b.column(1)
-            letters = pc.fill_null(pc.match_substring_regex(texts, r"\p{L}"), False).to_numpy(zero_copy_only=False)
-            best, score = np.full(len(texts), -1), np.zeros(len(texts))
-            if net is not None:
-                for lo, hi, data, off in text_slices(texts):
-                    p = net.document_probabilities(data, off)
-                    best[lo:hi], score[lo:hi] = p.argmax(1), p.max(1)
-                best[~letters], score[~letters] = -1, 0
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(names[best], pa.string()), pa.array(np.clip(score, 0, 1))],
-                ["doc_id", "lang_pred", "score"])
+            names, score = labels(shared.value, b.column(1))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(names, pa.string()), pa.array(score)],
+                                             ["doc_id", "lang_pred", "score"])
 
     return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
             .mapInArrow(run, "doc_id long, lang_pred string, score double"))
 
 
+def in_known_language(docs: DataFrame, model: BiGRU | None, least: float = LEAST_SCORE, text_col: str = "text") -> DataFrame:
+    """The documents, all columns, whose language is predicted with a score of at least `least` (`und` never is)."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            names, score = labels(shared.value, b.column(place))
+            yield b.filter(pa.array((names != UND) & (score >= least)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     found = predict_language(docs, fit_language_model(docs))

@@ -125,7 +125,7 @@ def band_keys(ranks: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, weighted: bool = False) -> DataFrame:
-    """doc_id, k1, k2 (hashes of the word sequence) and bands of every text with words; docs: doc_id, text."""
+    """doc_id, t, k1, k2 (hashes of the word sequence) and bands of every text with words; docs: doc_id, text, t."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -145,11 +145,11 @@ def signatures(docs: DataFrame, weighted: bool = False) -> DataFrame:
                 keys = band_keys(dart_ranks(h, x, first)[full]).view(np.int64)
                 sizes = pa.array(np.arange(len(full) + 1) * BANDS, pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(lo, hi - lo).take(pa.array(full)),
+                    [b.column(0).slice(lo, hi - lo).take(pa.array(full)), b.column(2).slice(lo, hi - lo).take(pa.array(full)),
                      pa.array(k1[full].view(np.int64)), pa.array(k2[full].view(np.int64)),
-                     pa.ListArray.from_arrays(sizes, pa.array(keys.ravel()))], ["doc_id", "k1", "k2", "bands"])
+                     pa.ListArray.from_arrays(sizes, pa.array(keys.ravel()))], ["doc_id", "t", "k1", "k2", "bands"])
 
-    return docs.mapInArrow(run, "doc_id long, k1 long, k2 long, bands array<long>")
+    return docs.mapInArrow(run, "doc_id long, t long, k1 long, k2 long, bands array<long>")
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
@@ -177,10 +177,8 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return both.where(F.col("common") >= F.lit(similarity) * (F.size("a") + F.size("b") - F.col("common"))).select("u", "v")
 
 
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, weighted: bool = False,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, class_id of every row."""
-    docs = id_text(docs, id_col, text_col)
+def _classes(docs: DataFrame, similarity: float, weighted: bool) -> DataFrame:
+    """doc_id, t, class_id of every row; docs: doc_id, text, t (a hash of the text)."""
     known = docs.where(F.col("doc_id").isNotNull())
     signed = saved(signatures(known, weighted))
     # One representative for each distinct text.
@@ -212,9 +210,27 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, weighted: b
 
     classed = reps.select("k1", "k2", "rep").join(roots, F.col("rep") == F.col("node"), "left") \
         .select("k1", "k2", F.coalesce("root", "rep").alias("class_id"))
-    with_words = signed.select("doc_id", "k1", "k2").join(saved(classed), ["k1", "k2"]).select("doc_id", "class_id")
+    with_words = signed.select("doc_id", "t", "k1", "k2").join(saved(classed), ["k1", "k2"]).select("doc_id", "t", "class_id")
     wordless = docs.where(F.col("doc_id").isNull() | F.col("text").isNull() | ~F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    return with_words.unionByName(wordless.select("doc_id", F.col("doc_id").alias("class_id")))
+    return with_words.unionByName(wordless.select("doc_id", "t", F.col("doc_id").alias("class_id")))
+
+
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, weighted: bool = False,
+                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, class_id of every row."""
+    docs = id_text(docs, id_col, text_col).withColumn("t", F.xxhash64("text"))
+    return _classes(docs, similarity, weighted).select("doc_id", "class_id")
+
+
+def one_of_each(docs: DataFrame, similarity: float = SIMILARITY, weighted: bool = False,
+                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents, all columns, without those whose class has a smaller doc_id; equal rows stay once."""
+    keyed = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    keyed = keyed.withColumn("t", F.xxhash64("text"))
+    first = (_classes(keyed.select("doc_id", "text", "t"), similarity, weighted)
+             .where("doc_id = class_id").select("doc_id", "t").distinct())
+    known = keyed.select("row", "doc_id", "t").join(first, ["doc_id", "t"]).dropDuplicates(["doc_id", "t"])
+    return known.select("row").unionByName(keyed.where(F.col("doc_id").isNull()).select("row")).select("row.*")
 
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

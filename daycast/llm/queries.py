@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from daycast.llm import substring_dedup
+from daycast.llm import line_dedup, substring_dedup
 from daycast.llm.bpe import op9_bpe
 from daycast.llm.brown_lm import op6_brown_lm
 from daycast.llm.decontaminate import op5_decontaminate
@@ -13,6 +13,7 @@ from daycast.llm.secrets import op8_secrets
 from daycast.llm.token_counts import op4_token_counts
 
 QUERIES = {
+    "op1_line_dedup": line_dedup.op1_line_dedup,
     "op2_near_dedup": op2_near_dedup,
     "op3_substring_dedup": substring_dedup.op3_substring_dedup,
     "op4_token_counts": op4_token_counts,
@@ -25,5 +26,6 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_line_dedup": line_dedup.ORACLE_SQL,
     "op3_substring_dedup": substring_dedup.ORACLE_SQL,
 }
