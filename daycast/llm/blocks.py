@@ -22,8 +22,8 @@ def block_of(doc_id: Column, size: int) -> Column:
 
 
 def n_parts(spark: SparkSession) -> int:
-    """Parts of the hash space: a few for each shuffle partition, so that they even out."""
-    return 4 * partitions(spark)
+    """Parts of the hash space: one for each shuffle partition, since every block sends each part a row."""
+    return partitions(spark)
 
 
 def cuts(hashes: np.ndarray, parts: int) -> np.ndarray:
