@@ -27,7 +27,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from daycast.llm.common import documents, id_text
+from daycast.llm.common import documents, id_text, ship
 
 MAX_VOCABULARY_BYTES = 64 << 20
 CACHE_ENTRIES = 400_000
@@ -198,7 +198,7 @@ def model_of(shared) -> ByteBPE:
 
 def share(spark: SparkSession, path: str | None = None):
     text = tokenizer_file(path)
-    return spark.sparkContext.broadcast((hashlib.sha256(text.encode()).hexdigest(), text))
+    return ship(spark).sparkContext.broadcast((hashlib.sha256(text.encode()).hexdigest(), text))
 
 
 def bpe_encode(docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

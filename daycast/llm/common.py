@@ -9,7 +9,10 @@ hashed in a few numpy passes.
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 from typing import NamedTuple
 
 import numpy as np
@@ -145,13 +148,31 @@ def windows(hashes: np.ndarray, doc: np.ndarray, width: int) -> tuple[np.ndarray
     return start, Prefix(hashes, _STEP).of(start, start + width)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package's sources to the executors, once per application: the tasks import it."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        root = Path(__file__).resolve().parent.parent
+        target = Path(tempfile.mkdtemp(prefix="package-")) / f"{root.name}.zip"
+        with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, f.relative_to(root.parent))
+        sc.addPyFile(str(target))
+        _shipped.add(sc.applicationId)
+    return spark
+
+
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the two columns an operator reads, so that further columns can't clash with its own."""
+    ship(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return ship(spark).read.parquet(f"{sf_dir}/documents.parquet")
 
 
 def fold_of(doc_id: Column, folds: int = 5) -> Column:
@@ -165,7 +186,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         configured = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
         if not configured:
-            import tempfile
             configured = tempfile.mkdtemp(prefix="llm-checkpoints-")
         sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
@@ -177,5 +197,15 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows of a narrow table that make one partition.
+COMPACT_ROWS = 50_000
+
+
+def compact(df: DataFrame) -> DataFrame:
+    """`saved`, and read in as few partitions as its counted rows need, so that later shuffles of a small table stay small."""
+    df = saved(df)
+    return df.coalesce(max(1, -(-df.count() // COMPACT_ROWS)))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -11,13 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daycast.llm.common import saved
+from daycast.llm.common import compact
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -32,11 +32,11 @@ def components(edges: DataFrame) -> DataFrame:
 
     edges: u, v (long); loops and repeated edges don't matter.
     """
-    edges = saved(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    edges = compact(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     seen = None
     while True:
         mark = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
         if seen == (mark.n, mark.s):
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         seen = (mark.n, mark.s)
-        edges = saved(_small_star(_large_star(edges)))
+        edges = compact(_small_star(_large_star(edges)))

@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daycast.llm.common import documents, fold_of, text_slices
+from daycast.llm.common import documents, fold_of, ship, text_slices
 
 SEGMENT, HIDDEN = 64, 8
 SAMPLE_PER_LANGUAGE, MAX_LANGUAGES, MAX_SAMPLE, PASSAGE = 600, 64, 12_000, 512
@@ -244,7 +244,7 @@ def labels(net: BiGRU | None, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def predict_language(docs: DataFrame, model: BiGRU | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, lang_pred, score of every whole text; only the text is read."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = ship(docs.sparkSession).sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -258,7 +258,7 @@ def predict_language(docs: DataFrame, model: BiGRU | None, id_col: str = "doc_id
 
 def in_known_language(docs: DataFrame, model: BiGRU | None, least: float = LEAST_SCORE, text_col: str = "text") -> DataFrame:
     """The documents, all columns, whose language is predicted with a score of at least `least` (`und` never is)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = ship(docs.sparkSession).sparkContext.broadcast(model)
     place = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

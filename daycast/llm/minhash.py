@@ -15,10 +15,10 @@ The `BANDS` x `ROWS` coordinates are joined by band.  Exact copies are
 folded into one representative first.  Within a band's bucket every member
 is compared with the bucket's smallest and largest member - linear, not all
 pairs - by exact Jaccard similarity; verified links give components.
-Buckets whose members are then still in different components have links
-that were not yet compared: those pairs, across components only, are
-compared too, so no link that a band finds is lost.  A pair at 0.8 meets in
-no band with probability 3e-6.
+Buckets whose members are then still in different components are
+finished through a pivot (see `_rest`), so no link between components that
+a band finds is lost.  A pair at 0.8 meets in no band with probability
+3e-6.
 
 Defined results: one row per input row.  The class is the smallest doc_id
 of the component.  Texts of 1 to 4 words have their whole sequence as the
@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daycast.llm.common import U, Prefix, Words, documents, id_text, mix, salted, saved, text_slices, windows, words
+from daycast.llm.common import U, Prefix, Words, compact, documents, id_text, mix, salted, saved, ship, text_slices, windows, words
 from daycast.llm.components import components
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -177,8 +177,80 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return both.where(F.col("common") >= F.lit(similarity) * (F.size("a") + F.size("b") - F.col("common"))).select("u", "v")
 
 
+def _rest(crowd: DataFrame, sets: DataFrame, links: DataFrame, roots: DataFrame, similarity: float) -> DataFrame | None:
+    """Links between members of one bucket that are still in different components; None if there are none.
+
+    Every such bucket of four or more (smaller ones were compared in full)
+    gets a pivot: the node with the most links in the component of its
+    best-linked member.  The pivot's shingles, and those that more than a
+    quarter of the members around it hold, are the core; c is a member's
+    overlap with it.  A member x outside the pivot's component can be
+    similar to a member y of another component only if they share a
+    shingle beyond the core, or if their sizes allow it: else at most
+    min(c_x, c_y) shingles are common, and that must be `similarity` of
+    their union.  Both conditions are equality joins, so the pairs to
+    verify are found without making all pairs of the bucket, and none is
+    lost.
+    """
+    own_root = F.coalesce("root", "node").alias("root")
+    ends = links.select(F.col("u").alias("node")).unionByName(links.select(F.col("v").alias("node")))
+    degree = compact(ends.groupBy("node").agg(F.count("*").alias("degree")))
+    best = F.max(F.struct("degree", (-F.col("node")).alias("node")))
+    centre = (degree.join(roots, "node", "left").select("node", "degree", own_root)
+              .groupBy("root").agg(best.alias("top")).select("root", (-F.col("top.node")).alias("centre")))
+    placed = (crowd.where("n > 3").join(roots, "node", "left").join(degree, "node", "left")
+              .select("key", "node", own_root, F.coalesce("degree", F.lit(0)).alias("degree")))
+    mixed = compact(placed.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2"),
+                                            F.max(F.struct("degree", (-F.col("node")).alias("node"), "root")).alias("top"))
+                  .where("r1 <> r2").select("key", F.col("top.root").alias("root"), (-F.col("top.node")).alias("member"))
+                  .join(centre, "root", "left").select("key", F.coalesce("centre", "member").alias("pivot")))
+    around = crowd.select("key", "node").join(mixed, "key").select("pivot", "node").distinct()
+    theirs = sets.select(F.col("node").alias("pivot"), F.col("shingles").alias("p"))
+    seen = saved(around.join(sets, "node").join(theirs, "pivot")
+                 .select("pivot", "node", F.size("shingles").alias("n"), F.size("p").alias("np"),
+                         F.size(F.array_intersect("shingles", "p")).alias("c"), F.array_except("shingles", "p").alias("added")))
+    more = compact(seen.where((F.col("pivot") != F.col("node")) & (F.col("c") >= similarity * (F.col("n") + F.col("np") - F.col("c"))))
+                 .select(F.col("pivot").alias("u"), F.col("node").alias("v")))
+    links = compact(links.unionByName(more))
+    roots = components(links)
+
+    items = seen.select("pivot", "node", F.explode("added").alias("item"))
+    held = items.groupBy("pivot", "item").agg(F.count("*").alias("held"))
+    lists = (items.join(held, ["pivot", "item"]).groupBy("pivot", "node")
+             .agg(F.array_sort(F.collect_list(F.struct("held", "item"))).alias("added")))
+    around_pivot = seen.groupBy("pivot").agg(F.count("*").alias("members"), F.min("n").alias("least_n"))
+    in_core = lambda e: e.held * 4 > F.col("members")
+    # A similar pair shares at least `need` items beyond the core, so one of them is among the first
+    # size - need + 1 of each, in the same order; rare items come first.
+    need = F.greatest(F.lit(1), F.ceil(F.lit(similarity / (1 + similarity)) * (F.col("n") + F.col("least_n")) - F.col("c") - 1e-9))
+    seen = (seen.drop("added").join(lists, ["pivot", "node"], "left").join(around_pivot, "pivot")
+            .withColumn("added", F.coalesce("added", F.array().cast("array<struct<held:bigint,item:bigint>>")))
+            .withColumn("c", F.col("c") + F.size(F.filter("added", in_core)))
+            .withColumn("added", F.filter("added", lambda e: ~in_core(e)))
+            .withColumn("added", F.slice("added", F.lit(1), F.greatest(F.lit(0), F.size("added") - need + 1).cast("int")))
+            .withColumn("added", F.transform(F.filter("added", lambda e: e.held > 1), lambda e: e.item))
+            .join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+            .join(roots.select(F.col("node").alias("pivot"), F.col("root").alias("pivot_root")), "pivot", "left")
+            .withColumn("outside", F.col("root") != F.coalesce("pivot_root", "pivot")))
+    seen = saved(seen)
+    outside = seen.where("outside")
+    x = outside.select("pivot", F.explode("added").alias("item"), F.col("node").alias("u"), F.col("root").alias("ru"))
+    y = seen.select("pivot", F.explode("added").alias("item"), F.col("node").alias("v"), F.col("root").alias("rv"))
+    by_item = x.join(y, ["pivot", "item"]).where("ru <> rv").select("u", "v")
+    low, high = F.ceil(F.lit(similarity) * F.col("n")).cast("int"), F.floor(F.col("c") * (1 + 1 / similarity) - F.col("n")).cast("int")
+    x = (outside.where(low <= high).select("pivot", F.explode(F.sequence(low, high)).alias("nv"), F.col("n").alias("nu"),
+                                           F.col("c").alias("cu"), F.col("node").alias("u"), F.col("root").alias("ru")))
+    y = seen.select("pivot", F.col("n").alias("nv"), F.col("c").alias("cv"), F.col("node").alias("v"), F.col("root").alias("rv"))
+    by_size = (x.join(y, ["pivot", "nv"]).where("ru <> rv")
+               .where(F.least("cu", "cv") * (1 + similarity) >= similarity * (F.col("nu") + F.col("nv"))).select("u", "v"))
+    pairs = by_item.unionByName(by_size).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    found = compact(more.unionByName(verified(pairs, sets, similarity)))
+    return found if found.take(1) else None
+
+
 def _classes(docs: DataFrame, similarity: float, weighted: bool) -> DataFrame:
     """doc_id, t, class_id of every row; docs: doc_id, text, t (a hash of the text)."""
+    ship(docs.sparkSession)
     known = docs.where(F.col("doc_id").isNotNull())
     signed = saved(signatures(known, weighted))
     # One representative for each distinct text.
@@ -186,7 +258,7 @@ def _classes(docs: DataFrame, similarity: float, weighted: bool) -> DataFrame:
     members = reps.select(F.explode("bands").alias("key"), F.col("rep").alias("node"))
     buckets = (members.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("low"), F.max("node").alias("high"))
                .where("low <> high"))
-    crowd = saved(members.join(saved(buckets), "key"))
+    crowd = compact(members.join(compact(buckets), "key"))
 
     pair = lambda u, v: F.struct(F.col(u).alias("u"), F.col(v).alias("v"))
     pairs = crowd.select(F.explode(F.array(pair("low", "node"), pair("node", "high"))).alias("p")).select("p.u", "p.v")
@@ -194,23 +266,16 @@ def _classes(docs: DataFrame, similarity: float, weighted: bool) -> DataFrame:
     wanted = crowd.select("node").distinct()
     texts = known.join(wanted, known.doc_id == wanted.node, "left_semi")
     sets = saved(shingle_sets(texts).groupBy("node").agg(F.first("shingles").alias("shingles")))
-    links = saved(verified(pairs, sets, similarity))
+    links = compact(verified(pairs, sets, similarity))
     roots = components(links)
 
-    # Pairs that share a bucket of four or more but are in different components were not all compared.
-    placed = (crowd.where("n > 3").join(roots, "node", "left")
-              .select("key", "node", F.coalesce("root", "node").alias("root")))
-    mixed = saved(placed.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("key"))
-    some = saved(placed.join(mixed, "key"))
-    across = (some.alias("x").join(some.alias("y"), "key").where("x.node < y.node and x.root <> y.root")
-              .select(F.col("x.node").alias("u"), F.col("y.node").alias("v")).distinct())
-    links2 = saved(verified(across, sets, similarity))
-    if links2.take(1):
-        roots = components(links.unionByName(links2))
+    rest = _rest(crowd, sets, links, roots, similarity)
+    if rest is not None:
+        roots = components(links.unionByName(rest))
 
     classed = reps.select("k1", "k2", "rep").join(roots, F.col("rep") == F.col("node"), "left") \
         .select("k1", "k2", F.coalesce("root", "rep").alias("class_id"))
-    with_words = signed.select("doc_id", "t", "k1", "k2").join(saved(classed), ["k1", "k2"]).select("doc_id", "t", "class_id")
+    with_words = signed.select("doc_id", "t", "k1", "k2").join(compact(classed), ["k1", "k2"]).select("doc_id", "t", "class_id")
     wordless = docs.where(F.col("doc_id").isNull() | F.col("text").isNull() | ~F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     return with_words.unionByName(wordless.select("doc_id", "t", F.col("doc_id").alias("class_id")))
 
