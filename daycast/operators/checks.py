@@ -82,6 +82,9 @@ def failures(metrics: dict, params: ForecastParams) -> list[str]:
         out.append(f"{metrics['days_missing']} output rows miss a day count (L6)")
     if metrics.get("calendar_missing"):
         out.append(f"{metrics['calendar_missing']} horizon months have no calendar entry (L7)")
+    for name, n in metrics.items():
+        if name.endswith("_duplicate_keys") and n:
+            out.append(f"{n} keys of the {name.removesuffix('_duplicate_keys')} table occur more than once (L7)")
     return out
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daycast.functions.dates import CALENDAR_KEYS, calendar_key, month_floor, months_between_exact, sales_days_between
+from daycast.functions.dates import CALENDAR_KEYS, calendar_key, month_floor, sales_days_between
 
 
 def valid_projects(projects: DataFrame) -> F.Column:
@@ -16,35 +16,29 @@ def valid_projects(projects: DataFrame) -> F.Column:
 
 def shutdown_months(projects: DataFrame) -> DataFrame:
     """One row per project and month touched by [shutdown, reopen]."""
-    p = projects.where(valid_projects(projects)).select(
-        "loc_num", "shutdown", "reopen",
-        month_floor("shutdown").alias("month_shutdown"),
-        month_floor("reopen").alias("month_reopen"))
-    span = months_between_exact("month_shutdown", "month_reopen")
-    return (p.select("*", F.explode(F.sequence(F.lit(0), span)).alias("_k"))
-            .withColumn("month", F.add_months("month_shutdown", F.col("_k")))
-            .drop("_k"))
+    first, last = month_floor("shutdown"), month_floor("reopen")
+    touched = F.sequence(first, last, F.expr("interval 1 month"))
+    return projects.where(valid_projects(projects)).select(
+        "loc_num", "shutdown", "reopen", first.alias("month_shutdown"), last.alias("month_reopen"),
+        F.explode(touched).alias("month"))
 
 
 def shutdown_days_lost(projects: DataFrame, calendar: DataFrame) -> DataFrame:
     """K6: selling days lost per (loc_num, month).
 
-    The shutdown month loses its selling days from the shutdown day to the
-    month end (or the reopen day); the reopen month loses those from its
-    first day to the reopen day, inclusive; months in between lose all their
-    calendar days.  Overlapping projects count once: the maximum per month.
+    A month that lies wholly between shutdown and reopening loses its
+    calendar days; any other touched month the selling days of its part of
+    the closed interval, both ends included.
+    Overlapping projects count once: the maximum per month.
     Months missing from the calendar are dropped, as in the original.
     The aggregate is partial before its shuffle, so many projects on one
     location are combined map-side.
     """
-    months = shutdown_months(projects)
-    keyed = months.select("*", *calendar_key("month")).join(
+    keyed = shutdown_months(projects).select("*", *calendar_key("month")).join(
         F.broadcast(calendar.select(*CALENDAR_KEYS, "days_max")), list(CALENDAR_KEYS), "inner")
-    m, ms, mr = F.col("month"), F.col("month_shutdown"), F.col("month_reopen")
-    lost = (F.when((m != ms) & (m != mr), F.col("days_max"))
-            .when(m == ms, sales_days_between("shutdown", F.least(F.last_day(ms), F.col("reopen"))))
-            .when(m == mr, sales_days_between(mr, "reopen"))
-            .otherwise(F.lit(0)))
+    whole = (F.col("month") > F.col("month_shutdown")) & (F.col("month") < F.col("month_reopen"))
+    closed_part = sales_days_between(F.greatest("shutdown", "month"), F.least(F.col("reopen"), F.last_day("month")))
+    lost = F.when(whole, F.col("days_max")).otherwise(closed_part)
     return keyed.groupBy("loc_num", "month").agg(F.max(lost).alias("days_lost"))
 
 

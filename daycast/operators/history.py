@@ -36,11 +36,12 @@ def history_days_by_month_num(history: DataFrame) -> DataFrame:
     number (`hist_1` .. `hist_12`).
 
     If a month number appears twice among the last 12 rows (gaps in the
-    history), the later month wins.  The pivot values are fixed, so this is
+    history), the later month wins (of equal months, the
+    larger day count).  The pivot values are fixed, so this is
     a single aggregate with twelve bounded slots per location.
     """
     last = last_twelve(history)
-    wide = last.groupBy("loc_num").pivot("month_num", list(range(1, 13))).agg(F.max_by("days", "month"))
+    wide = last.groupBy("loc_num").pivot("month_num", list(range(1, 13))).agg(F.max_by("days", F.struct("month", "days")))
     return wide.select("loc_num", *[F.col(str(k)).alias(f"hist_{k}") for k in range(1, 13)])
 
 
@@ -51,6 +52,5 @@ def hist_array() -> F.Column:
 
 def cap_days(days_max: str = "days_max", hist_days: str = "hist_days", ocl_code: str = "OCL") -> F.Column:
     """K4: for OCL locations, never more selling days than history shows."""
-    is_ocl = F.col("location_type_code").isNotNull() & (F.col("location_type_code") == ocl_code)
-    capped = F.least(F.coalesce(F.col(hist_days), F.col(days_max)), F.col(days_max))
-    return F.when(is_ocl, capped).otherwise(F.col(days_max))
+    # least() skips a null, so a location without history keeps the calendar's days.
+    return F.when(F.col("location_type_code") == ocl_code, F.least(hist_days, days_max)).otherwise(F.col(days_max))

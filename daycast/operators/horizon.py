@@ -65,7 +65,7 @@ def prepare_locations(sales_days_future: DataFrame, params: ForecastParams) -> D
         "location_type_code",
         F.col("location_type_code").alias("concept_code"),
         (F.col("price_group") if "price_group" in sales_days_future.columns
-         else F.lit(None).cast("bigint")).alias("price_group"),
+         else F.lit(None).cast("string")).alias("price_group"),
         F.coalesce(mp.cast("int"), F.lit(params.months_predict)).alias("months_predict"),
         start_offset(params).alias("month_start"),
         month_floor("open_date").alias("month_open"),

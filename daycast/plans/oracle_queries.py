@@ -30,7 +30,7 @@ CLEANSE = f"""SELECT {O.PAD('s_suppkey')} AS loc_num,
   coalesce(CASE WHEN s_suppkey % 10 = 3 THEN DATE '2001-09-15' + CAST((s_suppkey * 31) % 400 AS INTEGER) END,
            DATE '2200-01-01') AS close_date,
   CASE s_suppkey % 3 WHEN 0 THEN 'OCL' WHEN 1 THEN 'STD' ELSE 'MALL' END AS location_type_code,
-  CAST(s_suppkey % 4 AS BIGINT) AS price_group, 120 AS months_predict,
+  CAST(s_suppkey % 4 AS VARCHAR) AS price_group, 120 AS months_predict,
   CASE s_suppkey % 3 WHEN 0 THEN 'OCL' WHEN 1 THEN 'STD' ELSE 'MALL' END AS concept_code
 FROM supplier"""
 

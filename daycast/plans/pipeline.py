@@ -55,7 +55,7 @@ from daycast.operators.inflation import (
     shifted_growth,
 )
 from daycast.params import SCOPES, ForecastParams
-from daycast.sources.schemas import FINAL_COLUMNS
+from daycast.sources.schemas import FINAL_COLUMNS, FORECAST_OUTPUT
 
 
 @dataclasses.dataclass
@@ -99,7 +99,8 @@ class ForecastRun:
         staging = path.rstrip("/") + ".staging"
         write_output(self.output, staging, fmt=fmt, **options)
         reader = self.output.sparkSession.read
-        self._written = reader.parquet(staging) if fmt == "parquet" else reader.option("header", True).csv(staging)
+        self._written = (reader.parquet(staging) if fmt == "parquet"
+                         else reader.schema(FORECAST_OUTPUT).option("header", True).csv(staging))
         self.check()
         publish(self.output.sparkSession, staging, path)
 
@@ -181,9 +182,9 @@ def forecast_sales_days(sales_days_future: DataFrame, monthly_sales: DataFrame,
                         with_checks: bool = True) -> ForecastRun:
     """Sales days, inflation and factors per location, forecast date and month.
 
-    Returns the lazy output with the observations of checks L1-L6 (and L7
-    coverage when `calendar_gap="error"`); call `ForecastRun.check()` after
-    the action.
+    Returns the lazy output and its checks L1-L7 (coverage only with
+    `calendar_gap="error"`), which `ForecastRun.write()` runs; a key that
+    occurs twice in a keyed table would multiply rows and fails the check.
     """
     input_checks: list[DataFrame] = []
     out_metrics: list = list(checks.output_metrics())
@@ -198,6 +199,12 @@ def forecast_sales_days(sales_days_future: DataFrame, monthly_sales: DataFrame,
     st = plan_forecast(sales_days_future, monthly_sales, reinvestment_projects, cannibalization_factors,
                        reinvestment_factors, params, scope, price_increases, observe)
     output = st["output"]
+    if with_checks:
+        keyed = {"locations": (sales_days_future, ["loc_num", "date_forecast"]), "history": (monthly_sales, ["loc_num", "month"]),
+                 "cannibalization": (cannibalization_factors, ["loc_num", "month"]),
+                 "reinvestment": (reinvestment_factors, ["loc_num", "month"]), "price": (price_increases, ["price_group"])}
+        input_checks += [checks.duplicate_keys(df, keys).select(F.col("duplicate_keys").alias(f"{name}_duplicate_keys"))
+                         for name, (df, keys) in keyed.items() if df is not None]
     if params.calendar_gap == "error":
         # coverage is measured on the rows before months without calendar are dropped
         input_checks.append(st["coverage"].agg(*checks.calendar_metrics()))

@@ -67,7 +67,7 @@ def sales_days_future(spark: SparkSession, sf_dir: str, raw: bool = False) -> Da
         _open_date(k).alias("open_date"),
         F.when(k % 10 == 3, _plus_days(dt.date(2001, 9, 15), (k * 31) % 400)).alias("close_date"),
         F.when(k % 3 == 0, "OCL").when(k % 3 == 1, "STD").otherwise("MALL").alias("location_type_code"),
-        (k % 4).alias("price_group"),
+        (k % 4).cast("string").alias("price_group"),
         F.lit(120).alias("months_predict"),
     )
     return out if raw else out.drop("s_suppkey")
@@ -147,7 +147,7 @@ def price_increases(spark: SparkSession, sf_dir: str) -> DataFrame:
     get 0.02, 0.03 and 0.0; group 3 has no row on purpose."""
     r = F.col("r_regionkey")
     return (_read(spark, sf_dir, "region").where(r < 3)
-            .select(r.cast("bigint").alias("price_group"),
+            .select(r.cast("string").alias("price_group"),
                     F.when(r == 0, 0.02).when(r == 1, 0.03).otherwise(0.0).alias("inc")))
 
 

@@ -9,7 +9,7 @@ with the same functions.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,12 +31,21 @@ def parse_date(c: Column | str) -> Column:
     return F.try_to_date(F.nullif(F.trim(col.cast("string")), F.lit("null")))
 
 
-def format_dates_and_pad_loc(df: DataFrame, loc_col: str = "loc_num",
-                             date_cols: Iterable[str] | None = None) -> DataFrame:
-    """Reusable cleanser: parse the date columns, pad the key."""
-    cols = {c: parse_date(c) for c in (date_cols or [])}
-    cols[loc_col] = pad_key(loc_col)
-    return df.withColumns(cols)
+def typed_columns(name: str, df: DataFrame) -> DataFrame:
+    """The table's date columns parsed, and its location key padded, where it has them."""
+    dates = {c: parse_date(c) for c in schemas.DATE_COLUMNS[name] if c in df.columns}
+    key = {"loc_num": pad_key("loc_num")} if "loc_num" in df.columns else {}
+    return df.withColumns(dates | key)
+
+
+def unparsed_dates(name: str, raw: DataFrame) -> DataFrame:
+    """B2: one row with the number of values, per date column of a raw table, that are text but no date.
+
+    Empty text and 'null' mean "no date" and don't count.
+    """
+    text = lambda c: F.nullif(F.nullif(F.trim(F.col(c).cast("string")), F.lit("null")), F.lit(""))
+    found = [c for c in schemas.DATE_COLUMNS[name] if c in raw.columns]
+    return raw.agg(*(F.count_if(text(c).isNotNull() & parse_date(c).isNull()).alias(c) for c in found))
 
 
 def cleanse_sales_days_future(df: DataFrame, months_predict: int = 120) -> DataFrame:
@@ -46,7 +55,7 @@ def cleanse_sales_days_future(df: DataFrame, months_predict: int = 120) -> DataF
     a missing open date is kept as null and reported by check L1.
     `months_predict` is added when the file does not carry it (B5).
     """
-    out = format_dates_and_pad_loc(df, date_cols=["date_forecast", "open_date", "close_date"])
+    out = typed_columns("sales_days_future", df)
     out = out.withColumn("close_date", F.coalesce(F.col("close_date"), F.lit(schemas.FAR_FUTURE)))
     if "months_predict" in df.columns:
         mp = F.coalesce(F.col("months_predict").cast("int"), F.lit(months_predict))
@@ -54,15 +63,15 @@ def cleanse_sales_days_future(df: DataFrame, months_predict: int = 120) -> DataF
         mp = F.lit(months_predict)
     out = out.withColumn("months_predict", mp)
     if "price_group" in df.columns:
-        out = out.withColumn("price_group", F.col("price_group").cast("bigint"))
+        out = out.withColumn("price_group", F.col("price_group").cast("string"))
     else:
-        out = out.withColumn("price_group", F.lit(None).cast("bigint"))
+        out = out.withColumn("price_group", F.lit(None).cast("string"))
     return out.select(*[f.name for f in schemas.SALES_DAYS_FUTURE.fields])
 
 
 def _cast_to(df: DataFrame, name: str) -> DataFrame:
     schema = schemas.INPUTS[name]
-    out = format_dates_and_pad_loc(df, date_cols=schemas.DATE_COLUMNS[name]) if "loc_num" in df.columns else df
+    out = typed_columns(name, df)
     return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields
                         if f.name in out.columns])
 
@@ -136,10 +145,16 @@ def publish(spark: SparkSession, staging: str, path: str) -> None:
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     src, dst = jvm.org.apache.hadoop.fs.Path(staging), jvm.org.apache.hadoop.fs.Path(path)
     fs = src.getFileSystem(conf)
-    if fs.exists(dst):
-        fs.delete(dst, True)
+    # The result before stays until the new one is in its place.
+    old = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + ".old")
+    fs.delete(old, True)
+    if fs.exists(dst) and not fs.rename(dst, old):
+        raise OSError(f"could not move {path} aside")
     if not fs.rename(src, dst):
+        if fs.exists(old):
+            fs.rename(old, dst)
         raise OSError(f"could not move {staging} to {path}")
+    fs.delete(old, True)
 
 
 def preview(df: DataFrame, n: int = 5) -> DataFrame:

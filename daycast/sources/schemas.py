@@ -16,7 +16,7 @@ FAR_FUTURE = dt.date(2200, 1, 1)
 # Fixed value: width of the zero-padded location number.
 LOC_WIDTH = 5
 
-S, D, I, L, DB = T.StringType(), T.DateType(), T.IntegerType(), T.LongType(), T.DoubleType()
+S, D, I, DB = T.StringType(), T.DateType(), T.IntegerType(), T.DoubleType()
 
 
 def _struct(*fields: tuple[str, T.DataType, bool]) -> T.StructType:
@@ -29,7 +29,7 @@ SALES_DAYS_FUTURE = _struct(
     ("open_date", D, True),
     ("close_date", D, True),
     ("location_type_code", S, True),
-    ("price_group", L, True),
+    ("price_group", S, True),
     ("months_predict", I, True),
 )
 
@@ -48,7 +48,7 @@ CANNIBALIZATION_FACTORS = _struct(("loc_num", S, False), ("month", D, False), ("
 
 REINVESTMENT_FACTORS = _struct(("loc_num", S, False), ("month", D, False), ("factor", DB, True))
 
-PRICE_INCREASES = _struct(("price_group", L, False), ("inc", DB, True))
+PRICE_INCREASES = _struct(("price_group", S, False), ("inc", DB, True))
 
 INPUTS = {
     "sales_days_future": SALES_DAYS_FUTURE,

@@ -19,7 +19,7 @@ from daycast.sources.io import pad_key, read_input
 D = dt.date
 P = ForecastParams(as_of=D(2017, 1, 31))
 SDF = ("loc_num string, date_forecast date, open_date date, close_date date, location_type_code string, "
-       "price_group bigint, months_predict int")
+       "price_group string, months_predict int")
 MS = "loc_num string, month date, open_date date, sales double, days int, inflation_factor_ending double"
 PROJ = "loc_num string, shutdown date, reopen date"
 FACT = "loc_num string, month date, gocf double"
