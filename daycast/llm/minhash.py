@@ -227,16 +227,23 @@ def _rest(crowd: DataFrame, sets: DataFrame, links: DataFrame, roots: DataFrame,
             .withColumn("added", F.coalesce("added", F.array().cast("array<struct<held:bigint,item:bigint>>")))
             .withColumn("c", F.col("c") + F.size(F.filter("added", in_core)))
             .withColumn("added", F.filter("added", lambda e: ~in_core(e)))
-            .withColumn("added", F.slice("added", F.lit(1), F.greatest(F.lit(0), F.size("added") - need + 1).cast("int")))
-            .withColumn("added", F.transform(F.filter("added", lambda e: e.held > 1), lambda e: e.item))
+            .withColumn("size", F.size("added"))
+            .withColumn("added", F.slice("added", F.lit(1), F.greatest(F.lit(0), F.col("size") - need + 1).cast("int")))
+            .withColumn("added", F.filter(F.transform("added", lambda e, i: F.struct(e.item.alias("item"), e.held.alias("held"),
+                                                                                     (F.col("size") - i).alias("left"))),
+                                          lambda e: e.held > 1))
             .join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
             .join(roots.select(F.col("node").alias("pivot"), F.col("root").alias("pivot_root")), "pivot", "left")
             .withColumn("outside", F.col("root") != F.coalesce("pivot_root", "pivot")))
     seen = saved(seen)
     outside = seen.where("outside")
-    x = outside.select("pivot", F.explode("added").alias("item"), F.col("node").alias("u"), F.col("root").alias("ru"))
-    y = seen.select("pivot", F.explode("added").alias("item"), F.col("node").alias("v"), F.col("root").alias("rv"))
-    by_item = x.join(y, ["pivot", "item"]).where("ru <> rv").select("u", "v")
+    side = lambda df, k: (df.select("pivot", F.explode("added").alias("e"), F.col("node").alias(k), F.col("root").alias(f"r{k}"),
+                                    F.col("n").alias(f"n{k}"), F.col("c").alias(f"c{k}"))
+                          .select("pivot", "e.item", F.col("e.left").alias(f"left{k}"), k, f"r{k}", f"n{k}", f"c{k}"))
+    # Behind the first item they share, no more than the shorter rest can be shared; that must be enough.
+    still = F.least("leftu", "leftv") + F.least("cu", "cv")
+    by_item = (side(outside, "u").join(side(seen, "v"), ["pivot", "item"])
+               .where("ru <> rv").where(still * (1 + similarity) >= similarity * (F.col("nu") + F.col("nv")) - 1e-9).select("u", "v"))
     low, high = F.ceil(F.lit(similarity) * F.col("n")).cast("int"), F.floor(F.col("c") * (1 + 1 / similarity) - F.col("n")).cast("int")
     x = (outside.where(low <= high).select("pivot", F.explode(F.sequence(low, high)).alias("nv"), F.col("n").alias("nu"),
                                            F.col("c").alias("cu"), F.col("node").alias("u"), F.col("root").alias("ru")))
