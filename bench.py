@@ -29,8 +29,8 @@ from daycast import forecast_sales_days  # noqa: E402
 from daycast.functions.dates import sales_days_between  # noqa: E402
 from daycast.operators.calendar import day_details  # noqa: E402
 from daycast.operators.days import shutdown_days_lost  # noqa: E402
-from daycast.operators.horizon import attach_calendar, expand_horizon, prepare_locations  # noqa: E402
-from daycast.operators.inflation import attach_reported_inflation, fill_inflation, horizon_summary, inflation_means  # noqa: E402
+from daycast.operators.horizon import attach_calendar, expand_horizon, prepare_locations, with_open_months  # noqa: E402
+from daycast.operators.inflation import attach_reported_inflation, fill_inflation, inflation_means  # noqa: E402
 from daycast.session import ensure_checkpoint_dir, local_session  # noqa: E402
 from daycast.sources import fixtures  # noqa: E402
 
@@ -104,11 +104,11 @@ def mean_fill_window(i: dict[str, DataFrame]) -> DataFrame:
 
 
 def mean_fill_aggregate(i: dict[str, DataFrame]) -> DataFrame:
-    """Ours: partial aggregate of the expanded rows, means joined back before the explode."""
+    """Ours: location rows weighted by their open months, means joined back before the explode."""
     cal = day_details(i["monthly_sales"], P)
-    locs = attach_reported_inflation(prepare_locations(i["sales_days_future"], P), i["monthly_sales"])
-    means = inflation_means(horizon_summary(attach_calendar(expand_horizon(locs), cal)))
-    return attach_calendar(expand_horizon(fill_inflation(locs, means)), cal)
+    opened = with_open_months(prepare_locations(i["sales_days_future"], P), cal).drop("open_months")
+    locs = attach_reported_inflation(opened, i["monthly_sales"])
+    return attach_calendar(expand_horizon(fill_inflation(locs, inflation_means(locs))), cal)
 
 
 def main() -> None:

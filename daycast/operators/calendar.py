@@ -19,10 +19,10 @@ Plan: two aggregates, no join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daycast.functions.dates import CALENDAR_KEYS, WEEKDAY_NAMES, calendar_key, known_actuals
+from daycast.functions.dates import CALENDAR_KEYS, WEEKDAY_NAMES, calendar_key, is_leap_year, known_actuals
 from daycast.params import ForecastParams
 
 MAX_CALENDAR_ROWS = 7 * 12 * 2
@@ -80,6 +80,28 @@ def day_details(monthly_sales: DataFrame, params: ForecastParams) -> DataFrame:
             .select(*CALENDAR_KEYS, "v.year_ref", F.col("v.d").cast("int").alias("days_max")))
 
 
+def calendar_slot(jan1_index: Column, month_num: Column, leap: Column) -> Column:
+    """Position of a layout among the MAX_CALENDAR_ROWS possible ones, from 1."""
+    return (jan1_index - 1) * 24 + (month_num - 1) * 2 + leap.cast("int") + 1
+
+
+def calendar_array(calendar: DataFrame) -> Column:
+    """The calendar's `days_max` by slot as one array of MAX_CALENDAR_ROWS
+    entries (null where a layout is missing), as a scalar subquery: a row
+    can look a month up without a join."""
+    jan1 = F.array_position(F.array(*[F.lit(n) for n in WEEKDAY_NAMES]), F.col("jan1_day")).cast("int")
+    entry = F.struct(calendar_slot(jan1, F.col("month_num"), F.col("leap_year")), F.col("days_max"))
+    by_slot = calendar.agg(F.map_from_entries(F.collect_list(entry)).alias("m"))
+    slots = F.sequence(F.lit(1), F.lit(MAX_CALENDAR_ROWS))
+    return by_slot.select(F.transform(slots, lambda k: F.try_element_at(F.col("m"), k))).scalar()
+
+
+def calendar_days(table: Column, month: Column) -> Column:
+    """The month's selling days in `table` (see `calendar_array`), null where its layout is missing."""
+    year_start = F.trunc(month, "year")
+    return F.element_at(table, calendar_slot(F.dayofweek(year_start), F.month(month), is_leap_year(month)))
+
+
 def observed_calendar(monthly_sales: DataFrame, params: ForecastParams) -> DataFrame:
     """K1 without synthesised leap layouts."""
     return day_details(monthly_sales, params.replace(leap_weekdays=()))

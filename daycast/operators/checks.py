@@ -58,8 +58,8 @@ def output_metrics() -> list[Column]:
 
 
 def calendar_metrics() -> list[Column]:
-    """L7 (coverage): horizon months whose layout the calendar lacks."""
-    return [F.count_if(F.col("days_max").isNull()).alias("calendar_missing")]
+    """L7 (coverage) on location rows with open months: horizon months whose layout the calendar lacks."""
+    return [F.coalesce(F.sum("n_uncovered"), F.lit(0)).alias("calendar_missing")]
 
 
 def failures(metrics: dict, params: ForecastParams) -> list[str]:
@@ -80,7 +80,7 @@ def failures(metrics: dict, params: ForecastParams) -> list[str]:
         out.append(f"largest inflation factor {mx} exceeds {params.inflation_factor_max} (L5)")
     if metrics.get("days_missing"):
         out.append(f"{metrics['days_missing']} output rows miss a day count (L6)")
-    if metrics.get("calendar_missing"):
+    if metrics.get("calendar_missing") and params.calendar_gap == "error":
         out.append(f"{metrics['calendar_missing']} horizon months have no calendar entry (L7)")
     for name, n in metrics.items():
         if name.endswith("_duplicate_keys") and n:
@@ -105,7 +105,7 @@ def quality_report(locations: DataFrame, projects: DataFrame, output: DataFrame,
     """All check values as (check, value) rows: ordinary aggregates, no observe.
 
     `locations` must carry `concept_code` (see `prepare_locations`);
-    `coverage` is a horizon left-joined to the calendar.
+    `coverage` holds location rows with `n_uncovered` (see `with_open_months`).
     """
     parts = [
         locations.agg(*input_metrics()),

@@ -1,56 +1,87 @@
-"""Cannibalisation and reinvestment factors.
-
-Both lookups are left joins on (loc_num, month) and share one shuffle of
-the horizon: the second join finds the horizon already partitioned on
-its keys.  In forecast scope a missing factor is 0, so the forward fill of
-the original is a no-op and is not planned.  In backtest scope factors of
-months beyond the vision are unknown and carry the last known value
-forward: a window partitioned by (loc_num, date_forecast), which holds at
-most months_predict + 1 rows per partition, so a location with many rows
-cannot skew it.
+"""Days lost and factors by location and month.
+
+The three tables keyed by (loc_num, month) are folded into one map per
+location, `month -> (days_lost, gocf, reinvestment_factor)`, and joined to
+the location rows before the explode; the generator reads them there, so
+no exploded row is joined.  The map is bounded: keys are unique (duplicate
+keys fail the run's checks; until then the largest value counts and no row
+is multiplied) and months outside the run's horizon are left out.
+
+In backtest scope a factor of a month at or after date_forecast + vision is
+unknown and the last known one is carried forward.  A known factor is never
+null (0 where there is none), so the value carried is the one of the last
+open month within the vision: a lookup of another month, not a window.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daycast.params import BACKTEST, ForecastParams
 
+VALUES = ("days_lost", "gocf", "reinvestment_factor")
+
+
+def factors_by_month(days_lost: DataFrame, cannibalization: DataFrame, reinvestment: DataFrame,
+                     pairs: DataFrame) -> DataFrame:
+    """One row per location with `factors`, its map of months to values.
+
+    `pairs` are the (date_forecast, month) pairs of the horizon.
+    """
+    def part(df: DataFrame, value: str, name: str) -> DataFrame:
+        types = {"days_lost": "int", "gocf": "double", "reinvestment_factor": "double"}
+        return df.select("loc_num", "month", *[(F.col(value) if n == name else F.lit(None)).cast(t).alias(n)
+                                               for n, t in types.items()])
+
+    first, last = pairs.select(F.min("month")).scalar(), pairs.select(F.max("month")).scalar()
+    every = (part(days_lost, "days_lost", "days_lost")
+             .unionByName(part(cannibalization, "gocf", "gocf"))
+             .unionByName(part(reinvestment, "factor", "reinvestment_factor")))
+    by_month = (every.where(F.col("month").between(first, last))
+                .groupBy("loc_num", "month").agg(*[F.max(n).alias(n) for n in VALUES]))
+    entry = F.struct("month", F.struct(*VALUES))
+    return by_month.groupBy("loc_num").agg(F.map_from_entries(F.collect_list(entry)).alias("factors"))
+
+
+def with_last_known_months(locations: DataFrame, params: ForecastParams, scope: str) -> DataFrame:
+    """Per vision, its end and the last open month before it (null if there is none).
+
+    In forecast scope every factor is known and nothing is added.
+    """
+    if scope != BACKTEST:
+        return locations
+    visions = {"gocf": params.opening_vision_months, "reinvestment_factor": params.reinvestment_vision_months}
+    for name, months in visions.items():
+        locations = locations.withColumn(f"{name}_end", F.add_months(F.col("date_forecast"), months))
+    for name in visions:
+        def known(month: Column) -> Column:
+            return month < F.col(f"{name}_end")
+
+        months = F.transform("open_months", lambda e: e["month"])
+        locations = locations.withColumn(f"{name}_last", F.array_max(F.filter(months, known)))
+    return locations
+
+
+def factor_at(name: str, scope: str) -> Callable[[Column, Column], Column]:
+    """K7, K16, K17 inside the generator: the value of the month, 0 where there is none."""
+    def value(month: Column) -> Column:
+        return F.coalesce(F.try_element_at(F.col("factors"), month)[name],
+                          F.lit(0) if name == "days_lost" else F.lit(0.0))
+
+    def lookup(month: Column, i: Column) -> Column:
+        if scope != BACKTEST or name == "days_lost":
+            return value(month)
+        known = F.when(month < F.col(f"{name}_end"), month).otherwise(F.col(f"{name}_last"))
+        return F.when(known.isNotNull(), value(known))
+
+    return lookup
+
 
-def attach_factor(horizon: DataFrame, factors: DataFrame, value: str, name: str) -> DataFrame:
-    """The factor of the location and month, 0 where none."""
-    f = factors.select("loc_num", "month", F.col(value).cast("double").alias(name))
-    return horizon.join(f, ["loc_num", "month"], "left").withColumn(
-        name, F.coalesce(F.col(name), F.lit(0.0)))
-
-
-def mask_beyond_vision(name: str, vision_months: int) -> Column:
-    """Backtest: a factor of a month at or after date_forecast + vision is unknown."""
-    horizon_end = F.add_months(F.col("date_forecast"), vision_months)
-    return F.when(F.col("month") < horizon_end, F.col(name))
-
-
-def forward_fill(cols: list[str]) -> list[Column]:
-    """Last non-null value per (loc_num, date_forecast) in month order."""
-    w = (Window.partitionBy("loc_num", "date_forecast").orderBy("month")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return [F.last(F.col(c), ignorenulls=True).over(w).alias(c) for c in cols]
-
-
-def attach_factors(horizon: DataFrame, cannibalization: DataFrame, reinvestment: DataFrame,
-                   params: ForecastParams, scope: str) -> DataFrame:
-    """K16 + K17: `gocf` and `reinvestment_factor` per horizon row."""
-    out = attach_factor(horizon, cannibalization, "gocf", "gocf")
-    out = attach_factor(out, reinvestment, "factor", "reinvestment_factor")
-    if scope == BACKTEST:
-        out = out.withColumns({
-            "gocf": mask_beyond_vision("gocf", params.opening_vision_months),
-            "reinvestment_factor": mask_beyond_vision("reinvestment_factor", params.reinvestment_vision_months),
-        })
-        filled = forward_fill(["gocf", "reinvestment_factor"])
-        out = out.select(*[c for c in out.columns if c not in ("gocf", "reinvestment_factor")], *filled)
-    if params.round_factors:
-        out = out.withColumns({"gocf": F.round("gocf", 15),
-                               "reinvestment_factor": F.round("reinvestment_factor", 2)})
-    return out
+def round_factors(rows: DataFrame, params: ForecastParams) -> DataFrame:
+    """Rounded factors, if the run asks for them."""
+    if not params.round_factors:
+        return rows
+    return rows.withColumns({"gocf": F.round("gocf", 15), "reinvestment_factor": F.round("reinvestment_factor", 2)})

@@ -24,16 +24,17 @@ from daycast.functions.dates import (
     reported_month,
     sales_days_between,
 )
+from daycast.operators.calendar import calendar_array, calendar_days
 from daycast.params import ForecastParams
 from daycast.sources.schemas import FAR_FUTURE
 
 
-def start_offset(params: ForecastParams) -> F.Column:
+def start_offset(params: ForecastParams) -> Column:
     """A forecast made before the reporting day also covers the previous month."""
     return F.when(F.dayofmonth("date_forecast") < params.reported_day, F.lit(-1)).otherwise(F.lit(0))
 
 
-def closing_month(params: ForecastParams) -> F.Column:
+def closing_month(params: ForecastParams) -> Column:
     """Month of closing, if the closing limits the horizon; else FAR_FUTURE.
 
     With `closing_vision` a closing is only known `closing_vision_months`
@@ -81,12 +82,13 @@ def prepare_locations(sales_days_future: DataFrame, params: ForecastParams) -> D
     )
 
 
-def horizon_offsets() -> F.Column:
-    """D1 + C2: month offsets `month_start .. months_predict-1` within the open months.
+def offset_range() -> tuple[Column, Column, Column]:
+    """D1 + C2: first and last month offset within the open months, and whether there is one.
 
-    The offset range counts down when months_predict-1 < month_start, as
-    `sequence` does; as a set it is the same interval, which is then
-    intersected with [opening month, closing month].
+    The offset range `month_start .. months_predict-1` counts down when
+    months_predict-1 < month_start, as `sequence` does; as a set it is the
+    same interval, which is then intersected with [opening month, closing
+    month].
     """
     base = month_floor("date_forecast")
     a, b = F.col("month_start"), F.col("months_predict") - 1
@@ -94,10 +96,50 @@ def horizon_offsets() -> F.Column:
     close_off = months_between_exact(base, "month_close")
     lo = F.greatest(F.least(a, b), open_off)
     hi = F.least(F.greatest(a, b), close_off)
-    ok = open_off.isNotNull() & close_off.isNotNull() & (lo <= hi)
+    return lo, hi, open_off.isNotNull() & close_off.isNotNull() & (lo <= hi)
+
+
+def horizon_offsets() -> Column:
+    """D1 + C2: the month offsets of the row's open horizon."""
+    lo, hi, ok = offset_range()
     return F.when(ok, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
 
 
+def with_open_months(locations: DataFrame, calendar: DataFrame) -> DataFrame:
+    """C2 + E1 per location row: `open_months`, the months of the open horizon
+    that the calendar covers, in order, as an array of (month, days_max);
+    their number `n_open`, and `n_uncovered`, the number of months the
+    calendar lacks (dropped, as in the original).
+
+    The array holds at most months_predict + 1 entries.
+    """
+    base = month_floor("date_forecast")
+
+    def entry(k: Column) -> Column:
+        m = F.add_months(base, k)
+        return F.struct(m.alias("month"), calendar_days(F.col("_calendar"), m).alias("days_max"))
+
+    return (locations.withColumn("_calendar", calendar_array(calendar))
+            .withColumn("_all", F.transform(horizon_offsets(), entry))
+            .withColumn("open_months", F.filter(F.col("_all"), lambda e: e["days_max"].isNotNull()))
+            .withColumns({"n_open": F.size("open_months"), "n_uncovered": F.size("_all") - F.size("open_months")})
+            .drop("_calendar", "_all"))
+
+
+def horizon_pairs(locations: DataFrame, calendar: DataFrame) -> DataFrame:
+    """the distinct (date_forecast, month) pairs of the covered horizon.
+
+    The months of a forecast date are a union of offset ranges, so only the
+    distinct ranges are expanded (bounded by forecast dates and horizon
+    length, not by locations), after a partial aggregate.
+    """
+    lo, hi, ok = offset_range()
+    ranges = locations.where(ok).select("date_forecast", lo.alias("lo"), hi.alias("hi")).distinct()
+    months = (ranges.select("date_forecast", F.explode(F.sequence("lo", "hi")).alias("_k"))
+              .select("date_forecast", F.add_months(month_floor("date_forecast"), F.col("_k")).alias("month")))
+    return attach_calendar(months, calendar).select("date_forecast", "month").distinct()
+
+
 def spread_for_explode(locations: DataFrame) -> DataFrame:
     """Hash location rows over `spark.sql.shuffle.partitions` before the explode.
 
@@ -112,29 +154,33 @@ def spread_for_explode(locations: DataFrame) -> DataFrame:
     return locations.repartition(n, "loc_num", "date_forecast")
 
 
-def expand_horizon(locations: DataFrame, keep: list[str] | None = None,
-                   lookups: dict[str, Callable[[Column], Column]] | None = None) -> DataFrame:
+def expand_horizon(locations: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """K3: one row per location row and month of its open horizon.
 
     `keep` lists the location columns carried to the rows (default: all).
-    `lookups` maps output names to functions of the month, evaluated
-    *inside* the generator on the location row: wide per-location values
-    (a growth map, twelve history slots) are read there and never copied
-    into the exploded rows.
     """
     cols = keep if keep is not None else list(locations.columns)
-    base = month_floor("date_forecast")
-    if not lookups:
-        return (locations.select(*cols, F.explode(horizon_offsets()).alias("_offset"))
-                .withColumn("month", F.add_months(base, F.col("_offset")))
-                .drop("_offset"))
+    return (locations.select(*cols, F.explode(horizon_offsets()).alias("_offset"))
+            .withColumn("month", F.add_months(month_floor("date_forecast"), F.col("_offset")))
+            .drop("_offset"))
 
-    def per_month(k: Column) -> Column:
-        m = F.add_months(base, k)
-        return F.struct(m.alias("month"), *[fn(m).alias(name) for name, fn in lookups.items()])
 
-    return (locations.select(*cols, F.explode(F.transform(horizon_offsets(), per_month)).alias("_h"))
-            .select(*cols, "_h.*"))
+def expand_open_months(locations: DataFrame, keep: list[str],
+                       lookups: dict[str, Callable[[Column, Column], Column]]) -> DataFrame:
+    """K3 + E1: one row per location row and entry of `open_months`.
+
+    `lookups` maps output names to functions of the month and its position
+    (from 0), evaluated *inside* the generator on the location row: wide
+    per-location values (growth map, history slots, factors by month) are
+    read there and never copied into the exploded rows, and no exploded row
+    is joined or shuffled.
+    """
+    def per_month(e: Column, i: Column) -> Column:
+        return F.struct(e["month"].alias("month"), e["days_max"].alias("days_max"),
+                        *[fn(e["month"], i).alias(name) for name, fn in lookups.items()])
+
+    return (locations.select(*keep, F.explode(F.transform("open_months", per_month)).alias("_h"))
+            .select(*keep, "_h.*"))
 
 
 def attach_calendar(horizon: DataFrame, calendar: DataFrame, how: str = "inner") -> DataFrame:

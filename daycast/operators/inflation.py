@@ -7,11 +7,10 @@ Physical plan, chosen for scale:
   (loc_num, reported_month), reusing the history's (loc_num, month)
   partitioning.
 * Missing base factors are filled with the mean over the *expanded* rows
-  of their (reported_month, concept_code) group (F10).  Those groups are
-  few and large, so instead of a window (which would send each group to
-  one task) the rows are pre-aggregated to (date_forecast, concept_code,
-  month) sums and counts with map-side combine, and the few means are
-  joined back to the location rows, before the explode.
+  of their (reported_month, concept_code) group (F10).  A location row
+  counts once per open month, so the mean is one weighted aggregate of
+  location rows with map-side combine; nothing is expanded for it.  The few
+  means are joined back on a salted key.
 * The growth path (K12) is a function of (date_forecast, month) only.  It
   is computed on the distinct pairs (at most months_predict + 1 per
   forecast date), compounded with a running `product` window per forecast
@@ -30,6 +29,8 @@ from daycast.functions.dates import lit_date, months_between_exact
 from daycast.functions.numeric import clamp, monthly_rate
 from daycast.params import ForecastParams
 
+SALTS = 64
+
 
 def attach_reported_inflation(locations: DataFrame, monthly_sales: DataFrame) -> DataFrame:
     """K10 + E6: the ending inflation factor of the reported month, per location row."""
@@ -38,28 +39,31 @@ def attach_reported_inflation(locations: DataFrame, monthly_sales: DataFrame) ->
     return locations.join(infl, ["loc_num", "reported_month"], "left")
 
 
-def horizon_summary(horizon: DataFrame) -> DataFrame:
-    """Pre-aggregate of the expanded rows used by F10 and K12.
+def inflation_means(locations: DataFrame) -> DataFrame:
+    """mean of the known factors over the *expanded* rows of each
+    (reported_month, concept_code), from location rows weighted by the
+    number of their open months, `n_open`.  Partial before its shuffle."""
+    weight = F.col("n_open")
+    known = locations.where(F.col("inflation_factor").isNotNull() & (weight > 0))
+    return (known.groupBy("reported_month", "concept_code")
+            .agg((F.sum(F.col("inflation_factor") * weight) / F.sum(weight)).alias("inflation_mean")))
 
-    One row per (date_forecast, reported_month, concept_code, month) with the
-    sum and count of the known base factors.  The partial aggregate runs
-    before the shuffle, so its output is bounded by forecast dates x
-    concept codes x months, not by the number of locations.
-    """
-    return (horizon.groupBy("date_forecast", "reported_month", "concept_code", "month")
-            .agg(F.sum("inflation_factor").alias("infl_sum"),
-                 F.count("inflation_factor").alias("infl_n")))
 
+def join_few(locations: DataFrame, few: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join of location rows with a table of few rows on few-valued keys.
 
-def inflation_means(summary: DataFrame) -> DataFrame:
-    """row-weighted mean of the known factors per (reported_month, concept_code)."""
-    return (summary.groupBy("reported_month", "concept_code")
-            .agg((F.sum("infl_sum") / F.sum("infl_n")).alias("inflation_mean")))
+    Adaptive execution broadcasts `few` when it is small, but by then the
+    location rows are already shuffled; on such keys that would be a handful
+    of partitions.  Each key is therefore dealt over SALTS parts.
+    """
+    salted = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return (locations.withColumn("_salt", F.pmod(F.hash("loc_num", "date_forecast"), F.lit(SALTS)))
+            .join(salted, [*keys, "_salt"], "left").drop("_salt"))
 
 
 def fill_inflation(locations: DataFrame, means: DataFrame) -> DataFrame:
     """A missing base factor becomes its group mean."""
-    return (locations.join(means, ["reported_month", "concept_code"], "left")
+    return (join_few(locations, means, ["reported_month", "concept_code"])
             .withColumn("inflation_factor", F.coalesce(F.col("inflation_factor"), F.col("inflation_mean")))
             .drop("inflation_mean"))
 
@@ -110,38 +114,27 @@ def path_by_forecast_date(path: DataFrame) -> DataFrame:
                  .alias("inflation_path")))
 
 
-def path_value() -> Column:
-    """The growth of the row's month, from the row's forecast-date map."""
-    return F.try_element_at(F.col("inflation_path"), F.col("month"))
-
-
-def shift_months(horizon: DataFrame, params: ForecastParams) -> Column:
+def shift_months(pairs: DataFrame, params: ForecastParams) -> Column:
     """K14 offset: n = max(0, whole months from the earliest forecast month to
     price_change + months_before_next_increase), as a scalar subquery.
 
-    0 when there is no price change.
+    0 when there is no price change.  `pairs` are the (date_forecast, month)
+    pairs of the horizon.
     """
     if params.price_change is None:
         return F.lit(0)
     target = F.add_months(lit_date(params.price_change), params.months_before_next_increase)
-    first = horizon.select(F.min("month").alias("m")).select(
+    first = pairs.select(F.min("month").alias("m")).select(
         F.greatest(F.lit(0), F.coalesce(months_between_exact(F.col("m"), target), F.lit(0))).alias("n"))
     return first.scalar()
 
 
-def shifted_growth(growth: str, n: Column) -> Column:
-    """The growth `n` rows earlier for the same location and forecast
-    date (ordered by month), or 1 for the first `n` rows.
-
-    Spark's `lag` needs a literal offset; `n` is data-dependent, so the
-    running list of growth values (at most months_predict + 1 per
-    partition) is indexed instead.
-    """
-    w = (Window.partitionBy("loc_num", "date_forecast").orderBy("month")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    seen = F.collect_list(F.col(growth)).over(w)
-    pos = F.size(seen) - n
-    return F.when(pos >= 1, F.element_at(seen, pos)).otherwise(F.lit(1.0))
+def growth_at(month: Column, i: Column) -> Column:
+    """E7 + K14/G8 inside the generator: the growth `shift_n` open months
+    earlier (the month's own when 0), or 1 for the first `shift_n` months."""
+    earlier = F.get(F.col("open_months"), i - F.col("shift_n"))["month"]
+    return (F.when(i < F.col("shift_n"), F.lit(1.0))
+            .otherwise(F.try_element_at(F.col("inflation_path"), earlier)))
 
 
 def _py_sales_days(a: dt.date, b: dt.date) -> int:

@@ -9,10 +9,11 @@ factors (K16, K17); age bins (K9); check L6; final projection (B10).
 
 Physical shape (what the plan does at scale):
 
-* Location-row work (start offset, opening/closing months and days,
-  reported month, base inflation, history cap lookup, group means,
-  growth-path lookup, price group) happens before the explode, on a table
-  `months_predict + 1` times smaller than the output.
+* The horizon is expanded once.  Location-row work (start offset, opening
+  and closing months and days, open months with their calendar days,
+  reported month, base inflation, group means, growth path, history cap,
+  days lost and factors by month, price group) happens before the explode,
+  on a table `months_predict + 1` times smaller than the output.
 * Tables joined to location rows are per location (12 historical day
   counts, pivoted) or small aggregates (means per reported month and
   concept; one growth map per forecast date).  Their sizes are known only
@@ -20,10 +21,10 @@ Physical shape (what the plan does at scale):
   broadcasts them when their materialised size is under
   `spark.sql.adaptive.autoBroadcastJoinThreshold` and otherwise keeps a
   sort-merge join with skew splitting.
-* The only hinted broadcast is the calendar (<= 168 rows by construction).
-* Rows of the horizon are shuffled once, on (loc_num, month), for the
-  three lookups keyed that way; backtests add one window shuffle on
-  (loc_num, date_forecast), whose partitions hold <= months_predict + 1 rows.
+* The only hinted broadcast is the calendar (<= 168 rows by construction);
+  location rows read it as one array.
+* Rows of the horizon are never shuffled: the generator reads everything
+  they need from its location row, price shift and back-test fill included.
 * No action runs inside; checks are small explicit aggregates (see ForecastRun).
 """
 
@@ -38,21 +39,27 @@ from daycast.functions.numeric import age_group, age_years
 from daycast.functions.dates import months_between_exact
 from daycast.operators import checks
 from daycast.operators.calendar import day_details
-from daycast.operators.days import attach_days_lost, final_days, shutdown_days_lost
-from daycast.operators.factors import attach_factors
+from daycast.operators.days import final_days, shutdown_days_lost
+from daycast.operators.factors import VALUES, factor_at, factors_by_month, round_factors, with_last_known_months
 from daycast.operators.history import cap_days, hist_array, history_days_by_month_num
-from daycast.operators.horizon import attach_calendar, expand_horizon, prepare_locations, spread_for_explode
+from daycast.operators.horizon import (
+    expand_open_months,
+    horizon_pairs,
+    prepare_locations,
+    spread_for_explode,
+    with_open_months,
+)
 from daycast.operators.inflation import (
     attach_price_increases,
     attach_reported_inflation,
     fill_inflation,
-    horizon_summary,
+    growth_at,
     inflation_means,
     inflation_path,
+    join_few,
     path_by_forecast_date,
     price_change_uplift,
     shift_months,
-    shifted_growth,
 )
 from daycast.params import SCOPES, ForecastParams
 from daycast.sources.schemas import FINAL_COLUMNS, FORECAST_OUTPUT
@@ -63,8 +70,8 @@ class ForecastRun:
     """A lazily planned forecast and its data-quality checks.
 
     Checks are explicit aggregates, never blocking listeners: the input
-    checks (L1-L3) aggregate the small input tables; the output checks
-    (L4-L6, and L7 coverage with `calendar_gap="error"`) aggregate the
+    checks (L1-L3, L7) aggregate the input tables, calendar coverage among
+    them; the output checks (L4-L6) aggregate the
     written result when the run is written with `write()`, or the lazy
     output otherwise.
     """
@@ -105,12 +112,6 @@ class ForecastRun:
         publish(self.output.sparkSession, staging, path)
 
 
-def _side_horizon(locations: DataFrame, calendar: DataFrame) -> DataFrame:
-    cols = ["loc_num", "date_forecast", "month_start", "months_predict", "month_open", "month_close",
-            "reported_month", "concept_code", "inflation_factor"]
-    return attach_calendar(expand_horizon(spread_for_explode(locations.select(*cols)), keep=cols), calendar)
-
-
 def plan_forecast(sales_days_future: DataFrame, monthly_sales: DataFrame,
                   reinvestment_projects: DataFrame, cannibalization_factors: DataFrame,
                   reinvestment_factors: DataFrame, params: ForecastParams,
@@ -118,9 +119,9 @@ def plan_forecast(sales_days_future: DataFrame, monthly_sales: DataFrame,
                   observe=None) -> dict[str, DataFrame]:
     """K20 as named lazy stages; `forecast_sales_days` returns the last one.
 
-    Stages: calendar, locations (prepared, with base inflation), summary,
-    means, path, horizon (expanded rows with calendar and OCL cap),
-    base (days, age and filled base inflation per row), output.
+    Stages: calendar, locations (prepared, with open months and base
+    inflation), means, path, horizon (expanded rows with calendar and OCL
+    cap), base (days, age and filled base inflation per row), output.
     """
     if scope not in SCOPES:
         raise ValueError(f"scope must be one of {SCOPES}, not {scope!r}")
@@ -130,46 +131,40 @@ def plan_forecast(sales_days_future: DataFrame, monthly_sales: DataFrame,
     calendar = st["calendar"] = day_details(monthly_sales, params)
     prepared = prepare_locations(sales_days_future, params)
     observe(prepared, "inputs", checks.input_metrics())
-    locs = st["locations"] = attach_reported_inflation(prepared, monthly_sales)
+    opened = with_open_months(prepared, calendar).drop("open_months")
+    observe(opened, "calendar", checks.calendar_metrics())
+    locs = st["locations"] = attach_reported_inflation(opened, monthly_sales)
+    pairs = horizon_pairs(prepared, calendar)
+    means = st["means"] = inflation_means(locs)
+    path = st["path"] = inflation_path(pairs, params, scope)
+    projects = observe(reinvestment_projects, "projects", checks.project_metrics())
 
-    # Side branch over the expanded rows: group means (F10) and growth path.
-    side = _side_horizon(locs, calendar)
-    summary = st["summary"] = horizon_summary(side)
-    means = st["means"] = inflation_means(summary)
-    path = st["path"] = inflation_path(summary, params, scope)
     locs = fill_inflation(locs, means)
-    locs = locs.join(path_by_forecast_date(path), ["date_forecast"], "left")
+    growth = path_by_forecast_date(path).withColumn("shift_n", shift_months(pairs, params))
+    locs = join_few(locs, growth, ["date_forecast"])
     locs = locs.join(history_days_by_month_num(monthly_sales), ["loc_num"], "left")
+    locs = locs.join(factors_by_month(shutdown_days_lost(projects, calendar), cannibalization_factors,
+                                      reinvestment_factors, pairs), ["loc_num"], "left")
     if params.price_change is not None:
         locs = attach_price_increases(locs, price_increases)
+    locs = with_open_months(spread_for_explode(locs.drop("n_open", "n_uncovered")), calendar)
+    locs = with_last_known_months(locs, params, scope)
 
-    how = "left" if params.calendar_gap == "error" else "inner"
-    wide = {"inflation_path", *[f"hist_{k}" for k in range(1, 13)]}
-    lookups = {
-        "growth": lambda m: F.try_element_at(F.col("inflation_path"), m),
-        "hist_days": lambda m: F.element_at(hist_array(), F.month(m)),
-    }
-    rows = attach_calendar(expand_horizon(spread_for_explode(locs), keep=[c for c in locs.columns if c not in wide],
-                                          lookups=lookups),
-                           calendar, how=how)
-    if params.calendar_gap == "error":
-        st["coverage"] = rows
-        rows = rows.where(F.col("days_max").isNotNull())
+    keep = [c for c in prepared.columns if c not in ("month_start", "months_predict")] + ["inflation_factor"]
+    if params.price_change is not None:
+        keep.append("inc")
+    rows = expand_open_months(locs, keep, {
+        "growth": growth_at,
+        "hist_days": lambda m, i: F.element_at(hist_array(), F.month(m)),
+        **{name: factor_at(name, scope) for name in VALUES},
+    })
     rows = st["horizon"] = rows.withColumns({"days_uncapped": F.col("days_max"), "days_max": cap_days()})
-
-    projects = observe(reinvestment_projects, "projects", checks.project_metrics())
-    rows = attach_days_lost(rows, shutdown_days_lost(projects, calendar))
     rows = st["base"] = rows.withColumns({
         "days": final_days(),
         "age": months_between_exact("month_open", "month"),
     })
-
-    growth = F.col("growth")
-    if params.price_change is not None:
-        growth = shifted_growth("growth", shift_months(side, params)) * price_change_uplift(params)
-    rows = rows.withColumn("inflation_factor", F.col("inflation_factor") * growth)
-
-    rows = attach_factors(rows, cannibalization_factors, reinvestment_factors, params, scope)
+    rows = rows.withColumn("inflation_factor", F.col("inflation_factor") * F.col("growth") * price_change_uplift(params))
+    rows = round_factors(rows, params)
     rows = rows.withColumn("age_years", age_years("age")).withColumn("age_group", age_group("age_years"))
     st["output"] = rows.select(*FINAL_COLUMNS)
     return st
@@ -182,17 +177,16 @@ def forecast_sales_days(sales_days_future: DataFrame, monthly_sales: DataFrame,
                         with_checks: bool = True) -> ForecastRun:
     """Sales days, inflation and factors per location, forecast date and month.
 
-    Returns the lazy output and its checks L1-L7 (coverage only with
-    `calendar_gap="error"`), which `ForecastRun.write()` runs; a key that
-    occurs twice in a keyed table would multiply rows and fails the check.
+    Returns the lazy output and its checks L1-L7, which
+    `ForecastRun.write()` runs.  Horizon months without a calendar entry are
+    always counted and fail with `calendar_gap="error"`; a key that occurs
+    twice in a keyed table fails.
     """
     input_checks: list[DataFrame] = []
     out_metrics: list = list(checks.output_metrics())
 
     def observe(df: DataFrame, name: str, metrics) -> DataFrame:
-        if name == "calendar":
-            out_metrics.extend(metrics)
-        elif with_checks:
+        if with_checks:
             input_checks.append(df.agg(*metrics))
         return df
 
@@ -205,8 +199,4 @@ def forecast_sales_days(sales_days_future: DataFrame, monthly_sales: DataFrame,
                  "reinvestment": (reinvestment_factors, ["loc_num", "month"]), "price": (price_increases, ["price_group"])}
         input_checks += [checks.duplicate_keys(df, keys).select(F.col("duplicate_keys").alias(f"{name}_duplicate_keys"))
                          for name, (df, keys) in keyed.items() if df is not None]
-    if params.calendar_gap == "error":
-        # coverage is measured on the rows before months without calendar are dropped
-        input_checks.append(st["coverage"].agg(*checks.calendar_metrics()))
-        out_metrics[:] = list(checks.output_metrics())
     return ForecastRun(output, params, input_checks, out_metrics if with_checks else [F.count(F.lit(1)).alias("rows")])

@@ -27,7 +27,7 @@ from daycast.operators import calendar as cal_ops
 from daycast.operators import checks
 from daycast.operators.days import shutdown_days_lost, shutdown_months as shutdown_months_op
 from daycast.operators.history import cap_days, hist_array, history_days_by_month_num, last_twelve
-from daycast.operators.horizon import attach_calendar, closing_month, expand_horizon, prepare_locations
+from daycast.operators.horizon import closing_month, expand_horizon, prepare_locations, with_open_months
 from daycast.params import BACKTEST, FORECAST, ForecastParams
 from daycast.plans.pipeline import plan_forecast
 from daycast.sources import fixtures
@@ -251,7 +251,7 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     inp = fixtures.inputs(spark, sf_dir)
     st = _stages(spark, sf_dir)
     locs = prepare_locations(inp["sales_days_future"], P)
-    coverage = attach_calendar(expand_horizon(locs, keep=["loc_num", "date_forecast"]), st["calendar"], how="left")
+    coverage = with_open_months(locs, st["calendar"])
     rep = checks.quality_report(locs, inp["reinvestment_projects"], st["output"], inp["monthly_sales"], coverage)
     return rep.select(F.col("check").alias("check_name"), F.round("value", 6).alias("value"))
 

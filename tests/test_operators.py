@@ -11,9 +11,9 @@ from daycast.functions.numeric import age_group, age_years
 from daycast.operators import calendar as cal_ops
 from daycast.operators.checks import DataQualityError
 from daycast.operators.days import final_days, shutdown_days_lost
-from daycast.operators.factors import attach_factors
-from daycast.operators.horizon import expand_horizon, prepare_locations
-from daycast.operators.inflation import inflation_path, price_change_uplift, shifted_growth
+from daycast.operators.factors import VALUES, factor_at, factors_by_month, round_factors, with_last_known_months
+from daycast.operators.horizon import expand_horizon, expand_open_months, prepare_locations
+from daycast.operators.inflation import growth_at, inflation_path, price_change_uplift
 from daycast.sources.io import pad_key, read_input
 
 D = dt.date
@@ -153,6 +153,33 @@ def test_backtest_rate_clamps_to_end_rate(spark):
         assert r.incremental_time_inflation == pytest.approx(monthly ** i, rel=1e-12)
 
 
+def attach_factors(h, cann, reinv, params, scope):
+    """Factors of (loc_num, date_forecast, month) rows by way of location rows and the generator."""
+    none = h.sparkSession.createDataFrame([], "loc_num string, month date, days_lost int")
+    locs = h.groupBy("loc_num", "date_forecast").agg(
+        F.array_sort(F.collect_list(F.struct("month", F.lit(26).alias("days_max")))).alias("open_months"))
+    locs = locs.join(factors_by_month(none, cann, reinv, h), ["loc_num"], "left")
+    rows = expand_open_months(with_last_known_months(locs, params, scope), ["loc_num", "date_forecast"],
+                              {name: factor_at(name, scope) for name in VALUES})
+    return round_factors(rows, params)
+
+
+def test_duplicate_factor_keys_do_not_multiply_rows(spark):
+    h = spark.createDataFrame([("A", D(2001, 1, 10), D(2001, 2, 1)), ("B", D(2001, 1, 10), D(2001, 2, 1))],
+                              "loc_num string, date_forecast date, month date")
+    cann = spark.createDataFrame([("A", D(2001, 2, 1), 0.1), ("A", D(2001, 2, 1), 0.4)], FACT)
+    got = sorted((r.loc_num, r.days_lost, r.gocf) for r in
+                 attach_factors(h, cann, spark.createDataFrame([], RFACT), P, "forecast").collect())
+    assert got == [("A", 0, 0.4), ("B", 0, 0.0)]
+
+
+def test_factors_unknown_when_no_month_is_within_the_vision(spark):
+    h = spark.createDataFrame([("A", D(2001, 1, 10), D(2003, 2, 1))], "loc_num string, date_forecast date, month date")
+    cann = spark.createDataFrame([("A", D(2003, 2, 1), 0.4)], FACT)
+    r = attach_factors(h, cann, spark.createDataFrame([], RFACT), P, "backtest").first()
+    assert (r.gocf, r.reinvestment_factor) == (None, None)
+
+
 def test_backtest_factor_carried_forward(spark):
     months = month_seq(D(2001, 11, 1), 5)  # 2001-11 .. 2002-03; vision ends 2002-01-10
     h = spark.createDataFrame([("A", D(2001, 1, 10), m) for m in months], "loc_num string, date_forecast date, month date")
@@ -175,10 +202,16 @@ def test_null_increase_keeps_lagged_path(spark):
 
 
 def test_shift_by_rows_defaults_to_one(spark):
-    rows = [("A", D(2001, 4, 1), m, 1.0 + i / 10) for i, m in enumerate(month_seq(D(2001, 3, 1), 5))]
-    df = spark.createDataFrame(rows, "loc_num string, date_forecast date, month date, growth double")
-    got = sorted(df.select("month", shifted_growth("growth", F.lit(2)).alias("s")).collect())
+    months = month_seq(D(2001, 3, 1), 5)
+    path = {m: 1.0 + i / 10 for i, m in enumerate(months)}
+    df = spark.createDataFrame([("A", [(m, 26) for m in months], path, 2)],
+                               "loc_num string, open_months array<struct<month: date, days_max: int>>, "
+                               "inflation_path map<date, double>, shift_n int")
+    got = sorted(expand_open_months(df, ["loc_num"], {"s": growth_at}).select("month", "s").collect())
     assert [r.s for r in got] == [1.0, 1.0, 1.0, 1.1, 1.2]
+    got = sorted(expand_open_months(df.withColumn("shift_n", F.lit(0)), ["loc_num"], {"s": growth_at})
+                 .select("month", "s").collect())
+    assert [r.s for r in got] == [1.0, 1.1, 1.2, 1.3, 1.4]
 
 
 def test_long_location_numbers_unchanged(spark):

@@ -57,10 +57,25 @@ def test_building_the_plan_runs_no_job(spark, stored_inputs):
     assert list(sc.statusTracker().getJobIdsForGroup("daycast-plan-only")) == []
 
 
-def test_forward_fill_window_only_in_backtest(stored_inputs):
-    fc = _run(stored_inputs, "forecast").output._jdf.queryExecution().optimizedPlan().toString()
-    bt = _run(stored_inputs, "backtest").output._jdf.queryExecution().optimizedPlan().toString()
-    assert "last(gocf" not in fc and "last(gocf" in bt
+def _executed(df) -> str:
+    """The final adaptive plan, after the query has run."""
+    df._jdf.queryExecution().toRdd().count()
+    plan = _plan(df)
+    assert "isFinalPlan=true" in plan
+    return plan.split("== Initial Plan ==")[0]
+
+
+@pytest.mark.parametrize("scope,params", [("forecast", P.replace(price_change=None)), ("backtest", P),
+                                          ("forecast", fixtures.PRICE_CHANGE_PARAMS)])
+def test_horizon_is_expanded_once_and_never_shuffled(stored_inputs, scope, params):
+    plan = _executed(_run(stored_inputs, scope, params).output)
+    lines = plan.split("\n")
+    generators = [i for i, line in enumerate(lines) if "Generate explode" in line and "_h#" in line]
+    assert len(generators) == 1, plan
+    # the plan is printed from the output down: nothing is exchanged, joined or windowed above the explode
+    above = "\n".join(lines[:generators[0]])
+    assert not any(node in above for node in ("Exchange", "Join", "Window")), above
+    assert "PARTITION BY loc_num" not in plan and "Window [last(" not in plan
 
 
 def test_history_scans_are_pruned_and_pushed(stored_inputs):
