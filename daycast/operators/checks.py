@@ -25,10 +25,19 @@ def required_missing() -> Column:
     return F.col("loc_num").isNull() | F.col("date_forecast").isNull()
 
 
+def unusable_location() -> Column:
+    """A location row without key, forecast date or open date."""
+    return required_missing() | F.col("open_date").isNull()
+
+
 def rejects(sales_days_future: DataFrame) -> DataFrame:
-    """The location rows the forecast cannot use (missing key, forecast
-    date or open date), for a rejects table."""
-    return sales_days_future.where(required_missing() | F.col("open_date").isNull())
+    """The location rows the forecast cannot use, for a rejects table."""
+    return sales_days_future.where(unusable_location())
+
+
+def invalid_project() -> Column:
+    """L2: a project with missing or reversed dates."""
+    return F.col("shutdown").isNull() | F.col("reopen").isNull() | (F.col("reopen") < F.col("shutdown"))
 
 
 def input_metrics() -> list[Column]:
@@ -43,8 +52,7 @@ def input_metrics() -> list[Column]:
 
 def project_metrics() -> list[Column]:
     """L2 on reinvestment projects: missing or reversed dates."""
-    bad = F.col("shutdown").isNull() | F.col("reopen").isNull() | (F.col("reopen") < F.col("shutdown"))
-    return [F.count_if(bad).alias("project_dates_invalid")]
+    return [F.count_if(invalid_project()).alias("project_dates_invalid")]
 
 
 def output_metrics() -> list[Column]:

@@ -53,6 +53,28 @@ CAL_KEYS = f"""SELECT month, CAST(date_trunc('year', month) AS DATE) AS year_sta
   CAST(month(month) AS INTEGER) AS month_num, {O.LEAP('month')} AS leap_year
 FROM (SELECT DISTINCT month FROM monthly_sales) m"""
 
+# Faults of the raw location table, by supplier number (text that is no date is null, or "never closes").
+FAULTY = """SELECT loc_num, CASE WHEN k % 5 <> 4 THEN date_forecast END AS date_forecast,
+  CASE WHEN k % 3 <> 1 THEN open_date END AS open_date,
+  coalesce(CASE WHEN k % 4 <> 2 THEN close_date END, DATE '2200-01-01') AS close_date,
+  location_type_code, price_group, months_predict
+FROM (SELECT *, CAST(loc_num AS BIGINT) AS k FROM sdf) s"""
+
+# Leap layouts by enumeration: a month of a leap year and of a common year have the same
+# layout if they begin on the same weekday; 28 years hold every kind of year.
+LEAP_ALL = """SELECT jan1_day, month_num, leap_year, year_ref, days_max FROM cal_obs
+UNION ALL
+SELECT d.jan1_day, d.month_num, TRUE, o.year_ref, CAST(o.days_max + d.extra AS INTEGER)
+FROM (
+  SELECT DISTINCT strftime(make_date(l.y, 1, 1), '%A') AS jan1_day, CAST(m.m AS INTEGER) AS month_num,
+    strftime(make_date(c.y, 1, 1), '%A') AS donor,
+    CASE WHEN m.m = 2 AND dayofweek(make_date(l.y, 2, 29)) <> 0 THEN 1 ELSE 0 END AS extra
+  FROM generate_series(2000, 2027) l(y), generate_series(2000, 2027) c(y), generate_series(1, 12) m(m)
+  WHERE l.y % 4 = 0 AND c.y % 4 <> 0 AND dayofweek(make_date(l.y, m.m, 1)) = dayofweek(make_date(c.y, m.m, 1))) d
+JOIN cal_obs o ON o.jan1_day = d.donor AND o.month_num = d.month_num AND NOT o.leap_year
+WHERE NOT EXISTS (
+  SELECT 1 FROM cal_obs x WHERE x.jan1_day = d.jan1_day AND x.month_num = d.month_num AND x.leap_year)"""
+
 ORACLE_SQL: dict[str, str] = {
     "cleanse_locations": CLEANSE,
     "salesdays_between": SALESDAYS,
@@ -117,6 +139,24 @@ UNION ALL SELECT 'history_duplicate_keys', CAST(count(*) AS DOUBLE) FROM (
 UNION ALL SELECT 'calendar_missing', CAST(count(*) AS DOUBLE) FROM horizon h WHERE NOT EXISTS (
   SELECT 1 FROM calendar c WHERE c.jan1_day = {O.JAN1('h.month')} AND c.month_num = month(h.month)
     AND c.leap_year = {O.LEAP('h.month')})"""),
+    "csv_round_trip": f"SELECT * EXCLUDE (concept_code) FROM ({CLEANSE}) c",
+    "rejects": _fix(f"SELECT * FROM ({FAULTY}) f WHERE date_forecast IS NULL OR open_date IS NULL"),
+    "unparsed_dates": _fix("""SELECT CAST(0 AS BIGINT) AS date_forecast,
+  count(*) FILTER (WHERE CAST(loc_num AS BIGINT) % 3 = 1) AS open_date,
+  count(*) FILTER (WHERE CAST(loc_num AS BIGINT) % 4 = 2) AS close_date FROM sdf"""),
+    "duplicate_keys": _fix("""SELECT count(*) AS duplicate_keys FROM (
+  SELECT loc_num, month FROM (
+    SELECT * FROM cannibalization_factors
+    UNION ALL SELECT * FROM cannibalization_factors WHERE month(month) <= 3) t
+  GROUP BY ALL HAVING count(*) > 1) d"""),
+    "sorted_preview": f"SELECT * FROM ({O.final_sql(P)}) f ORDER BY loc_num, date_forecast, month LIMIT 5",
+    "price_change_mid_month": _pipe("SELECT loc_num, date_forecast, month, round(inflation_factor, 6) AS "
+                                    "inflation_factor FROM hz_applied", p=fixtures.MID_MONTH_CHANGE_PARAMS),
+    "forecast_price_change_backtest": O.final_sql(fixtures.BACKTEST_CHANGE_PARAMS, "backtest"),
+    "closing_vision_off": O.final_sql(P.replace(closing_vision=False)),
+    "rounded_factors": f"""SELECT * REPLACE (round(gocf, 15) AS gocf, round(reinvestment_factor, 2) AS reinvestment_factor)
+FROM ({O.final_sql(P)}) f""",
+    "leap_all_weekdays": _fix(LEAP_ALL, O.calendar_ctes(P)),
     "forecast_final": O.final_sql(P, "forecast"),
     "forecast_final_backtest": O.final_sql(P, "backtest"),
 }

@@ -80,6 +80,7 @@ class ForecastRun:
     params: ForecastParams
     input_checks: list[DataFrame]
     output_metrics: list = dataclasses.field(default_factory=list)
+    rejects: dict[str, DataFrame] = dataclasses.field(default_factory=dict)
     _written: DataFrame | None = None
 
     def metrics(self) -> dict:
@@ -100,10 +101,13 @@ class ForecastRun:
         """Write to `path + '.staging'`, check, then move the result to `path`.
 
         A failing check raises and leaves the staging copy for inspection;
-        nothing is published.
+        nothing is published.  Rejected input rows, if the run sets them
+        aside, are written first, to one table per input under `path + '.rejects'`.
         """
         from daycast.sources.io import publish, write_output
         staging = path.rstrip("/") + ".staging"
+        for name, df in self.rejects.items():
+            write_output(df, f"{path.rstrip('/')}.rejects/{name}", fmt=fmt, partition_by=None)
         write_output(self.output, staging, fmt=fmt, **options)
         reader = self.output.sparkSession.read
         self._written = (reader.parquet(staging) if fmt == "parquet"
@@ -174,14 +178,27 @@ def forecast_sales_days(sales_days_future: DataFrame, monthly_sales: DataFrame,
                         reinvestment_projects: DataFrame, cannibalization_factors: DataFrame,
                         reinvestment_factors: DataFrame, params: ForecastParams,
                         scope: str = "forecast", price_increases: DataFrame | None = None,
-                        with_checks: bool = True) -> ForecastRun:
+                        with_checks: bool = True, on_invalid: str = "stop") -> ForecastRun:
     """Sales days, inflation and factors per location, forecast date and month.
 
     Returns the lazy output and its checks L1-L7, which
     `ForecastRun.write()` runs.  Horizon months without a calendar entry are
     always counted and fail with `calendar_gap="error"`; a key that occurs
     twice in a keyed table fails.
+
+    Location rows without key, forecast date or open date and projects with
+    missing or reversed dates fail the checks (`on_invalid="stop"`), or are
+    set aside as the run's `rejects` and not forecast (`"reject"`).
     """
+    if on_invalid not in ("stop", "reject"):
+        raise ValueError(f"on_invalid must be 'stop' or 'reject', not {on_invalid!r}")
+    rejects: dict[str, DataFrame] = {}
+    if on_invalid == "reject":
+        bad_project = checks.invalid_project()
+        rejects = {"sales_days_future": checks.rejects(sales_days_future),
+                   "reinvestment_projects": reinvestment_projects.where(bad_project)}
+        sales_days_future = sales_days_future.where(~checks.unusable_location())
+        reinvestment_projects = reinvestment_projects.where(~bad_project)
     input_checks: list[DataFrame] = []
     out_metrics: list = list(checks.output_metrics())
 
@@ -199,4 +216,4 @@ def forecast_sales_days(sales_days_future: DataFrame, monthly_sales: DataFrame,
                  "reinvestment": (reinvestment_factors, ["loc_num", "month"]), "price": (price_increases, ["price_group"])}
         input_checks += [checks.duplicate_keys(df, keys).select(F.col("duplicate_keys").alias(f"{name}_duplicate_keys"))
                          for name, (df, keys) in keyed.items() if df is not None]
-    return ForecastRun(output, params, input_checks, out_metrics if with_checks else [F.count(F.lit(1)).alias("rows")])
+    return ForecastRun(output, params, input_checks, out_metrics if with_checks else [F.count(F.lit(1)).alias("rows")], rejects)

@@ -9,6 +9,7 @@ the DuckDB oracle (`oracle_queries.py`).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from daycast.functions.dates import (
+    WEEKDAY_NAMES,
     calendar_key,
     last_day_of,
     months_between_exact,
@@ -30,7 +32,8 @@ from daycast.operators.history import cap_days, hist_array, history_days_by_mont
 from daycast.operators.horizon import closing_month, expand_horizon, prepare_locations, with_open_months
 from daycast.params import BACKTEST, FORECAST, ForecastParams
 from daycast.plans.pipeline import plan_forecast
-from daycast.sources import fixtures
+from daycast.session import ensure_checkpoint_dir
+from daycast.sources import fixtures, io
 from daycast.sources.io import cleanse_sales_days_future
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -256,6 +259,61 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rep.select(F.col("check").alias("check_name"), F.round("value", 6).alias("value"))
 
 
+def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1-A3: the raw location table written as CSV and read through the registry."""
+    path = f"{ensure_checkpoint_dir(spark)}/csv-{uuid.uuid4().hex}"
+    io.write_output(fixtures.raw_sales_days_future(spark, sf_dir), path, fmt="csv", partition_by=None)
+    return io.load_inputs(spark, {"sales_days_future": path})["sales_days_future"]
+
+
+def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Location rows of a faulty raw table that cannot be forecast."""
+    return checks.rejects(cleanse_sales_days_future(fixtures.faulty_sales_days_future(spark, sf_dir)))
+
+
+def unparsed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts per date column of a faulty raw table that are no date."""
+    return io.unparsed_dates("sales_days_future", fixtures.faulty_sales_days_future(spark, sf_dir))
+
+
+def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L7 (keys): keys of a factor table, part of which was loaded twice, that occur more than once."""
+    factors = fixtures.cannibalization_factors(spark, sf_dir)
+    twice = factors.unionByName(factors.where(F.month("month") <= 3))
+    return checks.duplicate_keys(twice, ["loc_num", "month"])
+
+
+def sorted_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4, H1, H3: the first five rows of the forecast by location, forecast date and month."""
+    output = round_doubles(_stages(spark, sf_dir)["output"])
+    return io.preview(output.orderBy("loc_num", "date_forecast", "month"), 5)
+
+
+def price_change_mid_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A change within a month (its share of selling days), announced between the two forecast dates."""
+    return _inflation_rows(_stages(spark, sf_dir, fixtures.MID_MONTH_CHANGE_PARAMS))
+
+
+def forecast_price_change_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K20, K14, K15 in backtest scope: one forecast date within the announcement, one after the change."""
+    return round_doubles(_stages(spark, sf_dir, fixtures.BACKTEST_CHANGE_PARAMS, BACKTEST)["output"])
+
+
+def closing_vision_off(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K20 with every known closing limiting the horizon."""
+    return round_doubles(_stages(spark, sf_dir, P.replace(closing_vision=False))["output"])
+
+
+def rounded_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K20 with rounded factors."""
+    return round_doubles(_stages(spark, sf_dir, P.replace(round_factors=True))["output"])
+
+
+def leap_all_weekdays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1, K2: the calendar with leap layouts synthesised for every weekday."""
+    return cal_ops.day_details(fixtures.monthly_sales(spark, sf_dir), P.replace(leap_weekdays=WEEKDAY_NAMES))
+
+
 def forecast_final(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole forecast, forecast scope."""
     return round_doubles(_stages(spark, sf_dir)["output"])
@@ -295,6 +353,16 @@ QUERIES: dict[str, Query] = {
     "reinvestment_factor_backtest": reinvestment_factor_backtest,
     "age_groups": age_groups,
     "quality_report": quality_report,
+    "csv_round_trip": csv_round_trip,
+    "rejects": rejects,
+    "unparsed_dates": unparsed_dates,
+    "duplicate_keys": duplicate_keys,
+    "sorted_preview": sorted_preview,
+    "price_change_mid_month": price_change_mid_month,
+    "forecast_price_change_backtest": forecast_price_change_backtest,
+    "closing_vision_off": closing_vision_off,
+    "rounded_factors": rounded_factors,
+    "leap_all_weekdays": leap_all_weekdays,
     "forecast_final": forecast_final,
     "forecast_final_backtest": forecast_final_backtest,
 }

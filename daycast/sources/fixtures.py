@@ -31,6 +31,10 @@ FIXTURE_PARAMS = ForecastParams(
     price_change=None,
 )
 PRICE_CHANGE_PARAMS = FIXTURE_PARAMS.replace(price_change=dt.date(2001, 6, 1))
+# Known from 2001-04-15 on: between the two forecast dates.
+MID_MONTH_CHANGE_PARAMS = FIXTURE_PARAMS.replace(price_change=dt.date(2001, 7, 14))
+# Known from 2000-09-11 on and realized on 2001-01-16: around the first back-test date.
+BACKTEST_CHANGE_PARAMS = FIXTURE_PARAMS.replace(price_change=dt.date(2000, 12, 10))
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -58,6 +62,16 @@ def raw_sales_days_future(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def faulty_sales_days_future(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw location table with faults for the checks to find: open dates
+    in another format, empty forecast dates, close dates that are no date."""
+    k = F.col("loc_num").cast("long")
+    return (raw_sales_days_future(spark, sf_dir)
+            .withColumn("open_date", F.when(k % 3 == 1, "31/12/1990").otherwise(F.col("open_date")))
+            .withColumn("date_forecast", F.when(k % 5 == 4, "").otherwise(F.col("date_forecast")))
+            .withColumn("close_date", F.when(k % 4 == 2, "never").otherwise(F.col("close_date"))))
+
+
 def sales_days_future(spark: SparkSession, sf_dir: str, raw: bool = False) -> DataFrame:
     k = F.col("s_suppkey")
     out = _read(spark, sf_dir, "supplier").select(

@@ -25,15 +25,24 @@ def pad_key(c: Column | str, width: int = schemas.LOC_WIDTH) -> Column:
     return F.when(F.length(x) < width, F.lpad(x, width, "0")).otherwise(x)
 
 
-def parse_date(c: Column | str) -> Column:
-    """B2: text (yyyy-MM-dd) or date to date; unparseable text becomes null."""
+def parse_date(c: Column | str, bad_dates: str = "null") -> Column:
+    """B2: text (yyyy-MM-dd) or date to date.
+
+    Empty text and 'null' mean "no date".  Any other text that is no date
+    becomes null, or stops the job with `bad_dates="raise"`.
+    """
     col = F.col(c) if isinstance(c, str) else c
-    return F.try_to_date(F.nullif(F.trim(col.cast("string")), F.lit("null")))
+    text = F.nullif(F.nullif(F.trim(col.cast("string")), F.lit("null")), F.lit(""))
+    date = F.try_to_date(text)
+    if bad_dates == "raise":
+        error = F.raise_error(F.concat(F.lit("not a date: "), text)).cast("date")
+        return F.when(text.isNotNull() & date.isNull(), error).otherwise(date)
+    return date
 
 
-def typed_columns(name: str, df: DataFrame) -> DataFrame:
+def typed_columns(name: str, df: DataFrame, bad_dates: str = "null") -> DataFrame:
     """The table's date columns parsed, and its location key padded, where it has them."""
-    dates = {c: parse_date(c) for c in schemas.DATE_COLUMNS[name] if c in df.columns}
+    dates = {c: parse_date(c, bad_dates) for c in schemas.DATE_COLUMNS[name] if c in df.columns}
     key = {"loc_num": pad_key("loc_num")} if "loc_num" in df.columns else {}
     return df.withColumns(dates | key)
 
@@ -48,14 +57,14 @@ def unparsed_dates(name: str, raw: DataFrame) -> DataFrame:
     return raw.agg(*(F.count_if(text(c).isNotNull() & parse_date(c).isNull()).alias(c) for c in found))
 
 
-def cleanse_sales_days_future(df: DataFrame, months_predict: int = 120) -> DataFrame:
+def cleanse_sales_days_future(df: DataFrame, months_predict: int = 120, bad_dates: str = "null") -> DataFrame:
     """B3-B5, B7 on the location table.
 
     A 'null' or missing close date means the location never closes (B4);
     a missing open date is kept as null and reported by check L1.
     `months_predict` is added when the file does not carry it (B5).
     """
-    out = typed_columns("sales_days_future", df)
+    out = typed_columns("sales_days_future", df, bad_dates)
     out = out.withColumn("close_date", F.coalesce(F.col("close_date"), F.lit(schemas.FAR_FUTURE)))
     if "months_predict" in df.columns:
         mp = F.coalesce(F.col("months_predict").cast("int"), F.lit(months_predict))
@@ -69,23 +78,27 @@ def cleanse_sales_days_future(df: DataFrame, months_predict: int = 120) -> DataF
     return out.select(*[f.name for f in schemas.SALES_DAYS_FUTURE.fields])
 
 
-def _cast_to(df: DataFrame, name: str) -> DataFrame:
+def _cast_to(df: DataFrame, name: str, bad_dates: str) -> DataFrame:
     schema = schemas.INPUTS[name]
-    out = typed_columns(name, df)
+    out = typed_columns(name, df, bad_dates)
     return out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields
                         if f.name in out.columns])
 
 
-def cleanse(name: str, df: DataFrame, params: ForecastParams | None = None) -> DataFrame:
+def cleanse(name: str, df: DataFrame, params: ForecastParams | None = None, bad_dates: str = "null") -> DataFrame:
     """Cleanse one input table by name."""
     if name == "sales_days_future":
-        return cleanse_sales_days_future(df, params.months_predict if params else 120)
-    return _cast_to(df, name)
+        return cleanse_sales_days_future(df, params.months_predict if params else 120, bad_dates)
+    return _cast_to(df, name, bad_dates)
 
 
 def read_input(spark: SparkSession, name: str, path: str, fmt: str = "csv",
-               params: ForecastParams | None = None) -> DataFrame:
-    """A1: read one input table (CSV with header, or Parquet) and cleanse it."""
+               params: ForecastParams | None = None, bad_dates: str = "raise") -> DataFrame:
+    """A1: read one input table (CSV with header, or Parquet) and cleanse it.
+
+    A text that is no date stops the job that reads its column;
+    `bad_dates="null"` reads it as no date (`unparsed_dates` counts them).
+    """
     if fmt == "csv":
         # Header-named text columns: no schema inference, optional columns may be absent.
         raw = spark.read.option("header", True).option("inferSchema", False).option("mode", "FAILFAST").csv(path)
@@ -96,17 +109,17 @@ def read_input(spark: SparkSession, name: str, path: str, fmt: str = "csv",
         raw = spark.read.parquet(path)
     else:
         raise ValueError(f"unsupported format {fmt!r}")
-    return cleanse(name, raw, params)
+    return cleanse(name, raw, params, bad_dates)
 
 
 def load_inputs(spark: SparkSession, paths: Mapping[str, str], fmt: str = "csv",
-                params: ForecastParams | None = None) -> dict[str, DataFrame]:
+                params: ForecastParams | None = None, bad_dates: str = "raise") -> dict[str, DataFrame]:
     """A2: named dataset registry: table name -> path becomes name -> DataFrame,
     each also registered as a temporary view."""
     unknown = set(paths) - set(schemas.INPUTS)
     if unknown:
         raise ValueError(f"unknown input tables: {sorted(unknown)}")
-    frames = {name: read_input(spark, name, path, fmt, params) for name, path in paths.items()}
+    frames = {name: read_input(spark, name, path, fmt, params, bad_dates) for name, path in paths.items()}
     for name, df in frames.items():
         df.createOrReplaceTempView(name)
     return frames
