@@ -81,8 +81,3 @@ FORECAST_OUTPUT = _struct(
 )
 
 FINAL_COLUMNS = [f.name for f in FORECAST_OUTPUT.fields]
-
-
-def raw_text_schema(name: str) -> T.StructType:
-    """CSV form of an input: every column is text, parsed by the cleanser."""
-    return T.StructType([T.StructField(f.name, S, True) for f in INPUTS[name].fields])
