@@ -282,3 +282,19 @@ def test_pipeline_stages_handle_edge_rows(spark, tmp_path, edge, items):
         if k < len(corpus_pipeline.STAGES) - 1:
             assert docs.columns == edge.columns
     assert "n_tokens" in docs.columns
+
+
+def test_every_training_word_is_clustered(spark):
+    """Two vocabularies, each larger than TOP: what a rare word stands beside decides its class."""
+    r = random.Random(8)
+    halves = [[f"{a}{k:05d}" for k in range(1500)] for a in "pq"]
+    rows = [(i, " ".join(r.choice(halves[i % 2]) for _ in range(60))) for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    train = {i for i, _ in rows if zlib.crc32(str(i).encode()) % 5 != 1}
+    mixed = {i: (" ".join(x for k in range(30) for x in (r.choice(halves[0]), r.choice(halves[1])))) for i in range(1000, 1100)}
+    mixed = {i: t for i, t in mixed.items() if zlib.crc32(str(i).encode()) % 5 == 1}
+    got = {x.doc_id: x for x in brown_lm.class_scores(docs.unionByName(spark.createDataFrame(list(mixed.items()), docs.schema))).collect()}
+    assert all(x.n_known == x.n_tokens for x in got.values())
+    gain = lambda ids: np.mean([(got[i].score - got[i].base_score) / got[i].n_tokens for i in ids])
+    held = [i for i, _ in rows if i not in train]
+    assert gain(held) > 0.15 and gain(mixed) < gain(held) - 0.3     # log10 2 = 0.30 at most for knowing the vocabulary
