@@ -111,10 +111,13 @@ def _near(lines: DataFrame, distinct: DataFrame) -> DataFrame:
     sides = (halves.join(shared, "half").groupBy("k1", "k2")
              .agg(F.max(F.col("side") % 2 == 0).alias("head"), F.max(F.col("side") % 2 == 1).alias("tail")))
     places = saved(sides.join(distinct.select("k1", "k2", "first"), ["k1", "k2"]))
-    few = places.count() <= BROADCAST_ROWS
+    n_places = places.count()
+    few = n_places <= BROADCAST_ROWS
     own = places.select("head", "tail", "first", "first.doc_id", "first.t", "first.pos")
     candidates = saved(lines.join(F.broadcast(own) if few else own, ["doc_id", "t", "pos"])
                        .select("k1", "k2", "n", "head", "tail", "first", "words"))
+    if candidates.count() > n_places:      # repeated rows of the input have a line at one place several times
+        candidates = saved(candidates.dropDuplicates(["k1", "k2"]))
 
     variants = saved(_variants(candidates))
     met = saved(variants.groupBy("v").agg(F.count("*").alias("m")).where("m > 1").select("v"))

@@ -298,3 +298,13 @@ def test_every_training_word_is_clustered(spark):
     gain = lambda ids: np.mean([(got[i].score - got[i].base_score) / got[i].n_tokens for i in ids])
     held = [i for i, _ in rows if i not in train]
     assert gain(held) > 0.15 and gain(mixed) < gain(held) - 0.3     # log10 2 = 0.30 at most for knowing the vocabulary
+
+
+def test_repeated_rows_keep_their_near_lines(spark):
+    a, b, c = prose(12, 41).split(), prose(12, 42).split(), prose(12, 43).split()
+    text = lambda w, *new: " ".join([*w[:5], *new, *w[6:]])
+    rows = [(1, " ".join(a)), (1, " ".join(a)), (2, text(a, "x")),      # the earlier line is repeated
+            (3, " ".join(b)), (4, text(b, "x")), (4, text(b, "x")),     # the later one
+            (5, " ".join(c)), (5, " ".join(c)), (6, text(c)), (6, text(c)), (6, text(c))]
+    got = line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((x["row"]["doc_id"], x.n_near) for x in got) == sorted((i, int(i % 2 == 0)) for i, _ in rows)
