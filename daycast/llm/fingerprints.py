@@ -9,8 +9,13 @@ pieces' vectors and their number.  Sums don't depend on the order, so
 equal multisets of pieces have equal fingerprints, and inserting or
 deleting a piece adds or subtracts its vector.
 
-The mean square of the difference of two sign sums estimates how many
-pieces differ, which gives the likeness (a Jaccard estimate, 0 to 1).
+The likeness (an estimate of the multiset Jaccard, 0 to 1) comes from a
+second set of sign sums, in which each occurrence of a piece is hashed with
+its number within the text (first, second, ...): all elements are distinct,
+so the mean square of the difference of two such sums estimates how many
+occurrences differ, however often a piece is repeated.  Numbers don't add up
+over texts, so these sums belong to a whole text and are no part of the
+fingerprint.
 
 The edited text of the query needs each document's successor in
 descending doc_id.  The documents are dealt once into ranges of doc_id,
@@ -33,20 +38,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daycast.llm.common import (BYTE_VALUES, U, Prefix, documents, id_text, partitions, salted, text_slices, words)
+from daycast.llm.common import (BYTE_VALUES, U, Prefix, documents, id_text, mix, partitions, salted, text_slices, words)
 
 LANES, SIGNS, CUT = 8, 128, 4
 RANGES_PER_PARTITION = 4
 
 
 class Vectors:
-    """Fingerprints of several texts, as arrays."""
+    """Fingerprints of several texts, as arrays; `numbered`: sign sums of numbered occurrences, where the texts are at hand."""
 
-    def __init__(self, lanes: np.ndarray, signs: np.ndarray, count: np.ndarray):
-        self.lanes, self.signs, self.count = lanes, signs, count
+    def __init__(self, lanes: np.ndarray, signs: np.ndarray, count: np.ndarray, numbered: np.ndarray | None = None):
+        self.lanes, self.signs, self.count, self.numbered = lanes, signs, count, numbered
 
     def __getitem__(self, k) -> "Vectors":
-        return Vectors(self.lanes[k], self.signs[k], self.count[k])
+        return Vectors(self.lanes[k], self.signs[k], self.count[k], None if self.numbered is None else self.numbered[k])
 
     def plus(self, other: "Vectors", sign: int = 1) -> "Vectors":
         """Insert (or with -1 delete) the pieces of `other`."""
@@ -67,26 +72,43 @@ class Vectors:
                        part(0, 8, "<u8")[:, 0].astype(np.int64))
 
     def likeness(self, other: "Vectors") -> np.ndarray:
-        with np.errstate(over="ignore"):
-            apart = np.mean((self.signs - other.signs).astype(np.float64) ** 2, axis=1)
+        apart = np.mean((self.numbered.astype(np.float64) - other.numbered) ** 2, axis=1)
         both = (self.count + other.count).astype(np.float64)
         same = (self.lanes == other.lanes).all(axis=1) & (self.count == other.count)
         like = np.clip((both - apart) / np.maximum(both + apart, 1), 0, 1)
         return np.where(same, 1.0, np.minimum(like, 1 - 1 / np.maximum(both, 2)))
 
 
+def sign_sums(pieces: np.ndarray, at: np.ndarray, salt: int, kind: type) -> np.ndarray:
+    """Sums of the pieces' signs from each place of `at` to the next."""
+    bits = np.stack([salted(pieces, salt + k) for k in range(SIGNS // 64)], axis=1).view(np.uint8)
+    signs = np.unpackbits(bits, axis=1).view(np.int8) * np.int8(2) - np.int8(1)
+    return np.add.reduceat(signs, at, axis=0, dtype=kind)
+
+
+def numbered(pieces: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """A hash of each piece with its number among its equals within the text."""
+    text = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    order = np.lexsort((pieces, text))
+    p, t, place = pieces[order], text[order], np.arange(len(pieces))
+    new = np.ones(len(p), bool)
+    new[1:] = (p[1:] != p[:-1]) | (t[1:] != t[:-1])
+    out = np.empty(len(p), U)
+    out[order] = p + mix((place - np.maximum.accumulate(np.where(new, place, 0))).astype(U) + U(1))
+    return out
+
+
 def piece_sums(pieces: np.ndarray, first: np.ndarray) -> Vectors:
     """Sums of the vectors of consecutive pieces; `first` has each text's first piece, and the number of pieces."""
     n = len(first) - 1
-    out = Vectors(np.zeros((n, LANES), U), np.zeros((n, SIGNS), np.int16), np.diff(first))
+    out = Vectors(np.zeros((n, LANES), U), np.zeros((n, SIGNS), np.int16), np.diff(first), np.zeros((n, SIGNS), np.int32))
     full = np.flatnonzero(out.count)
     if len(full):
         at = first[full]
         for k in range(LANES):
             out.lanes[full, k] = np.add.reduceat(salted(pieces, k), at)
-        bits = np.stack([salted(pieces, 100 + k) for k in range(SIGNS // 64)], axis=1).view(np.uint8)
-        signs = np.unpackbits(bits, axis=1).astype(np.int16) * np.int16(2) - np.int16(1)
-        out.signs[full] = np.add.reduceat(signs, at, axis=0, dtype=np.int16)
+        out.signs[full] = sign_sums(pieces, at, 100, np.int16)
+        out.numbered[full] = sign_sums(numbered(pieces, first), at, 200, np.int32)
     return out
 
 
@@ -110,7 +132,7 @@ def fingerprint_texts(texts: pa.Array) -> Vectors:
     parts = [piece_sums(*piece_hashes(data, off)) for _, _, data, off in text_slices(texts)]
     if not parts:
         return piece_sums(np.zeros(0, U), np.zeros(1, np.int64))
-    return Vectors(*(np.concatenate([getattr(p, k) for p in parts]) for k in ("lanes", "signs", "count")))
+    return Vectors(*(np.concatenate([getattr(p, k) for p in parts]) for k in ("lanes", "signs", "count", "numbered")))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

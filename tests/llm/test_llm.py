@@ -308,3 +308,17 @@ def test_repeated_rows_keep_their_near_lines(spark):
             (5, " ".join(c)), (5, " ".join(c)), (6, text(c)), (6, text(c)), (6, text(c))]
     got = line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((x["row"]["doc_id"], x.n_near) for x in got) == sorted((i, int(i % 2 == 0)) for i, _ in rows)
+
+
+def test_likeness_of_repeated_pieces():
+    from collections import Counter
+    lines = lambda a, n: [f"{a}{k} line\n" for k in range(n)]
+    same = ["one repeated line\n"]
+    cases = [(same * 300, same * 200), (same * 300, same * 200 + lines("q", 100)), (lines("p", 300), lines("p", 200)),
+             (same * 70_000, same * 4000), (same * 100 + lines("p", 50), same * 50 + lines("p", 80))]
+    pieces = lambda t: Counter(fingerprints.piece_hashes(np.frombuffer(t.encode(), np.uint8), np.array([0, len(t.encode())]))[0].tolist())
+    for a, b in cases:
+        a, b = "".join(a), "".join(b)
+        x, y = pieces(a), pieces(b)
+        v = fingerprints.fingerprint_texts(pa.array([a, b], pa.large_string()))
+        assert abs(v[:1].likeness(v[1:])[0] - (x & y).total() / (x | y).total()) < 0.15
