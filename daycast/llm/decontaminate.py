@@ -14,7 +14,11 @@ one map over all documents.  Any number of items is handled, at one pass a
 block; a pass holds a bounded table.  A document in which a seed of an item
 occurs is aligned with that item around the seed hits (local alignment
 over words: match 2, mismatch -1, gap -1); an alignment whose score is at
-least `THRESHOLD` of the item's highest possible score is a leak.
+least `THRESHOLD` of the item's highest possible score, or that of `PASSAGE`
+matching words in a row, is a leak: a long item leaks by a part of it, too.
+
+Scripts written without spaces (Han, kana, Thai, Lao, Khmer, Myanmar) are
+compared by character: each of their characters is a word.
 
 Defined results: null or empty texts and items match nothing; an item of
 fewer than 3 words has no seed and is never reported; repeated documents
@@ -31,10 +35,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daycast.llm.common import (BYTE_VALUES, U, Prefix, documents, id_text, text_slices, windows, words)
+from daycast.llm.common import (BYTE_VALUES, U, Prefix, Words, documents, id_text, text_slices, windows, words)
 
 SHORTEST, LONGEST, RARE = 3, 8, 1e-4
-MATCH, MISMATCH, GAP, THRESHOLD = 2, -1, -1, 0.5
+MATCH, MISMATCH, GAP, THRESHOLD, PASSAGE = 2, -1, -1, 0.5, 13
 BLOCK_WORDS = 2_000_000
 TABLE_BITS = 22
 
@@ -45,9 +49,32 @@ _VALUES = BYTE_VALUES.copy()
 _VALUES[65:91] = BYTE_VALUES[97:123]
 
 
+def _unspaced(data: np.ndarray) -> np.ndarray:
+    """First bytes of the three-byte characters of scripts without spaces."""
+    at = np.flatnonzero((data >= 0xE0) & (data <= 0xE9))
+    at = at[at + 2 < len(data)]
+    point = ((data[at].astype(np.int32) & 15) << 12) | ((data[at + 1].astype(np.int32) & 63) << 6) | (data[at + 2] & 63)
+    some = np.zeros(len(at), bool)
+    for lo, hi in ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3040, 0x30FF), (0x3400, 0x9FFF)):
+        some |= (point >= lo) & (point <= hi)
+    return at[some]
+
+
+def _by_character(w: Words, off: np.ndarray, at: np.ndarray) -> Words:
+    """The words, cut before and behind each character that begins at one of `at`; their hashes are not made."""
+    start = np.unique(np.concatenate([w.start, at, at + 3]))
+    word = np.searchsorted(w.start, start, "right") - 1
+    start, word = start[start < w.end[word]], word[start < w.end[word]]
+    end = np.minimum(np.append(start[1:], w.end[-1]), w.end[word])
+    return Words(np.zeros(0, U), start, end, np.searchsorted(start, off))
+
+
 def plain_words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of a slice without case and punctuation, and each text's first word."""
     w = words(data, off)
+    at = _unspaced(data)
+    if len(at):
+        w = _by_character(w, off, at)
     kept = np.concatenate([[0], np.cumsum(_COUNTS[data])])
     # Hash only the bytes that count: compress the slice and hash the spans there.
     h = Prefix(_VALUES[data[_COUNTS[data]]]).of(kept[w.start], kept[w.end])
@@ -163,7 +190,7 @@ def _leaks(block: Block, h: np.ndarray, first: np.ndarray) -> list[tuple[int, in
                 s, x, y = align(h[c:min(b, c + 10 * reach)], w)
                 if s > best[0]:
                     best = (s, c + x - lo, c + y - lo)
-        if best[0] >= THRESHOLD * top:
+        if best[0] >= min(THRESHOLD * top, MATCH * PASSAGE):
             out.append((row, item, best[0] / top, best[1], best[2]))
     return out
 
@@ -197,7 +224,7 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[Block]
     """The test items in blocks of at most BLOCK_WORDS words, streamed through the driver one at a time."""
     ids, texts, size = [], [], 0
     for r in benchmark.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).cast("string").alias("t")).toLocalIterator():
-        n = len((r["t"] or "").split())
+        n = len(plain_words(raw := np.frombuffer((r["t"] or "").encode(), np.uint8), np.array([0, len(raw)]))[0])
         if ids and size + n > BLOCK_WORDS:
             yield Block(ids, texts)
             ids, texts, size = [], [], 0

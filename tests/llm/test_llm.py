@@ -322,3 +322,16 @@ def test_likeness_of_repeated_pieces():
         x, y = pieces(a), pieces(b)
         v = fingerprints.fingerprint_texts(pa.array([a, b], pa.large_string()))
         assert abs(v[:1].likeness(v[1:])[0] - (x & y).total() / (x | y).total()) < 0.15
+
+
+def test_parts_of_long_items_and_scripts_without_spaces(spark):
+    item, han = prose(300, 61).split(), "".join(chr(0x4E00 + k) for k in random.Random(7).sample(range(5000), 60))
+    items = spark.createDataFrame([(1, " ".join(item)), (2, han)], "item_id long, text string")
+    around = lambda k, t: f"{prose(40, 70 + k)} {t} {prose(40, 80 + k)}"
+    rows = [(1, around(1, " ".join(item[100:240]))), (2, around(2, " ".join(item[50:63]))), (3, around(3, " ".join(item[50:56]))),
+            (4, "一丁" + han[10:50] + "七"), (5, around(5, han[20:30])), (6, around(6, ""))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.decontaminate(docs, items).collect()}
+    assert set(got) == {(1, 1), (2, 1), (4, 2)}
+    assert (got[1, 1].first_word, got[1, 1].end_word) == (40, 180) and got[4, 2].end_word - got[4, 2].first_word == 40
+    assert sorted(r.doc_id for r in decontaminate.without_leaks(docs, items).collect()) == [3, 5, 6]
