@@ -45,8 +45,7 @@ documents every count is 0; repeated rows count, and are scored, each.
 
 from __future__ import annotations
 
-import gc
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -55,7 +54,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daycast.llm.blocks import block_of, cuts, is_in, n_parts
-from daycast.llm.common import FOLDED_VALUES, U, Words, documents, fold_of, id_text, mix, saved, text_slices, words
+from daycast.llm.common import FOLDED_VALUES, U, Words, documents, fold_of, id_text, mix, saved, shuffles_removed, text_slices, words
 
 TOP, CLASSES, ENDINGS, PASSES = 1024, 48, 64, 8
 BLOCK = 1024
@@ -347,7 +346,7 @@ def _added(rows: DataFrame, size: int) -> np.ndarray:
 
     table = np.zeros((size, size), np.int64)
     # At most `size` rows of `size` counts.
-    for r in rows.groupBy("unit").applyInArrow(add, "unit int, counts binary").toLocalIterator():
+    for r in rows.groupBy("unit").applyInArrow(add, "unit int, counts binary").collect():
         table[r["unit"]] = np.frombuffer(r["counts"], np.int64)
     return table
 
@@ -375,10 +374,15 @@ def _bigrams(docs: DataFrame, top: np.ndarray) -> tuple[np.ndarray, int]:
     return table, int(table[:, END].sum())
 
 
-def _released(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files and checkpoints that nothing refers to: each pass leaves some."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+def _each_block(encoded: DataFrame, run: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
+    """`run` on every block where it lies: a block is one row, which no shuffle has to bring together."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k in range(b.num_rows):
+                yield from run(pa.Table.from_batches([b.slice(k, 1)])).to_batches()
+
+    return encoded.mapInArrow(rows, schema)
 
 
 def _clustered(encoded: DataFrame, start: Start, parts: int) -> tuple[DataFrame, np.ndarray, np.ndarray]:
@@ -388,7 +392,7 @@ def _clustered(encoded: DataFrame, start: Start, parts: int) -> tuple[DataFrame,
 
     def swept(run, schema: str, answers: DataFrame | None) -> DataFrame:
         if answers is None:
-            return by_block.applyInArrow(lambda block: run(block, first.value.of(block)), schema)
+            return _each_block(encoded, lambda block: run(block, first.value.of(block)), schema)
         return by_block.cogroup(answers.groupBy("block")).applyInArrow(lambda block, own: run(block, _classes(block, own)), schema)
 
     message = "part int, block long, words binary, sizes binary, classes binary, counts binary"
@@ -399,15 +403,12 @@ def _clustered(encoded: DataFrame, start: Start, parts: int) -> tuple[DataFrame,
         moved = saved(swept(lambda block, classes: _send_neighbours(block, classes, parts), message, best)
                       .groupBy("part").applyInArrow(lambda t: _move_part(t, gain.value), "part int, kind int, block long, blob binary"))
         answers = moved.where("kind = 0").select("part", "block", "blob")
-        _released(spark)
         new = class_pairs(answers)
         if best is not None and likelihood(new) <= likelihood(pairs):
             break
         # One bounded row a part.
-        sizes = sum((np.frombuffer(r["blob"], np.int64) for r in moved.where("kind = 1").select("blob").toLocalIterator()), np.zeros(CLASSES))
+        sizes = sum((np.frombuffer(r["blob"], np.int64) for r in moved.where("kind = 1").select("blob").collect()), np.zeros(CLASSES))
         best, pairs = answers, new
-        del moved, answers
-        _released(spark)
     return best, pairs, sizes
 
 
@@ -419,23 +420,23 @@ def class_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     docs = id_text(docs, id_col, text_col).withColumn("train", fold_of(F.col("doc_id")) != held_out)
     parts = n_parts(docs.sparkSession)
     spread = F.coalesce(block_of(F.col("doc_id"), BLOCK), -1 - F.pmod(F.xxhash64("text"), F.lit(4096)))
-    encoded = saved(docs.withColumn("block", spread).groupBy("block").applyInArrow(
-        _encode, "block long, doc_ids array<long>, " + ", ".join(f"{c} binary" for c in ENCODED)))
-    _released(docs.sparkSession)
+    with shuffles_removed(docs.sparkSession):
+        encoded = saved(docs.withColumn("block", spread).groupBy("block").applyInArrow(
+            _encode, "block long, doc_ids array<long>, " + ", ".join(f"{c} binary" for c in ENCODED)))
+        counted = saved(_each_block(encoded, lambda t: _send(t, parts), "part int, block long, words binary, counts binary, endings binary")
+                        .groupBy("part").applyInArrow(_count_part, "part int, kind int, block long, blob binary"))
+
+        endings = np.zeros((2, ENDINGS), np.int64)
+        top = np.zeros((0, 3), np.int64)
+        for r in counted.where("kind > 0").select("kind", "blob").collect():     # two bounded rows a part
+            if r["kind"] == 1:
+                endings += np.frombuffer(r["blob"], np.int64).reshape(2, ENDINGS)
+            else:
+                top = np.concatenate([top, np.frombuffer(r["blob"], np.int64).reshape(-1, 3)])
+                top = top[np.lexsort((top[:, 0], -top[:, 1]))[:TOP]]
+        table, ends = _bigrams(docs, top[:, 0].view(U))
+        answers, pairs, sizes = _clustered(encoded, Start(top, exchange(table, len(top))), parts)
     by_block = encoded.groupBy("block")
-    counted = saved(by_block.applyInArrow(lambda t: _send(t, parts), "part int, block long, words binary, counts binary, endings binary")
-                    .groupBy("part").applyInArrow(_count_part, "part int, kind int, block long, blob binary"))
-
-    endings = np.zeros((2, ENDINGS), np.int64)
-    top = np.zeros((0, 3), np.int64)
-    for r in counted.where("kind > 0").select("kind", "blob").toLocalIterator():     # two bounded rows a part
-        if r["kind"] == 1:
-            endings += np.frombuffer(r["blob"], np.int64).reshape(2, ENDINGS)
-        else:
-            top = np.concatenate([top, np.frombuffer(r["blob"], np.int64).reshape(-1, 3)])
-            top = top[np.lexsort((top[:, 0], -top[:, 1]))[:TOP]]
-    table, ends = _bigrams(docs, top[:, 0].view(U))
-    answers, pairs, sizes = _clustered(encoded, Start(top, exchange(table, len(top))), parts)
     model = docs.sparkSession.sparkContext.broadcast(BrownModel(pairs, sizes, endings, ends))
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 

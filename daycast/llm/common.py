@@ -12,6 +12,7 @@ from __future__ import annotations
 import tempfile
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 from typing import NamedTuple
 
@@ -148,6 +149,21 @@ def windows(hashes: np.ndarray, doc: np.ndarray, width: int) -> tuple[np.ndarray
     return start, Prefix(hashes, _STEP).of(start, start + width)
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Actions on tables made inside remove their shuffle files when they end, instead of whenever the driver collects garbage.
+
+    For loops whose every step ends in a checkpoint or in rows at the driver.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 _shipped: set[str] = set()
 
 
@@ -181,11 +197,13 @@ def fold_of(doc_id: Column, folds: int = 5) -> Column:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; a fresh local one only where it is unset (tests)."""
+    """The shared folder of spark.checkpoint.dir; a fresh local one only in local mode where it is unset (tests)."""
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
         configured = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
         if not configured:
+            if not sc.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir is not set: on a cluster it must name a folder that all executors share")
             configured = tempfile.mkdtemp(prefix="llm-checkpoints-")
         sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

@@ -335,3 +335,23 @@ def test_parts_of_long_items_and_scripts_without_spaces(spark):
     assert set(got) == {(1, 1), (2, 1), (4, 2)}
     assert (got[1, 1].first_word, got[1, 1].end_word) == (40, 180) and got[4, 2].end_word - got[4, 2].first_word == 40
     assert sorted(r.doc_id for r in decontaminate.without_leaks(docs, items).collect()) == [3, 5, 6]
+
+
+def test_brown_counts_and_base_against_plain_python(spark):
+    import math
+    import re
+    from collections import Counter
+    rows = [(k, prose(5 + 7 * (k % 9), k % 25).title()) for k in range(60)] + [(61, None), (62, ""), (None, prose(9, 90)), (3, prose(26, 3).title())]
+    tokens = {k: [w.translate({c: c + 32 for c in range(65, 91)}) for w in re.findall("[^\x20\x09-\x0D]+", t or "")] + [None]
+              for k, (_, t) in enumerate(rows)}
+    fold = [zlib.crc32(("" if i is None else str(i)).encode()) % 5 for i, _ in rows]
+    counts = Counter(w for k, ws in tokens.items() if fold[k] != 1 for w in ws)
+    total = sum(counts.values())
+    expected = sorted(((i is None, i or 0), fold[k] == 1, len(ws), sum(counts[w] > 0 for w in ws), total,
+                       round(sum(math.log10((counts[w] + 0.5) / (total + 0.5 * (len(counts) + 1))) for w in ws), 6))
+                      for k, ((i, _), ws) in enumerate(zip(rows, tokens.values())))
+    got = brown_lm.class_scores(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id is None, r.doc_id or 0), r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in got) == expected
+    assert {r.held_out for r in got} == {True, False} and all(np.isfinite(r.score) and r.score < 0 for r in got)
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    assert spark.conf.get(name) == "false"      # the session's setting is put back
