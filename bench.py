@@ -29,7 +29,10 @@ from daycast import forecast_sales_days  # noqa: E402
 from daycast.functions.dates import sales_days_between  # noqa: E402
 from daycast.operators.calendar import day_details  # noqa: E402
 from daycast.operators.days import shutdown_days_lost  # noqa: E402
-from daycast.operators.horizon import attach_calendar, expand_horizon, prepare_locations, with_open_months  # noqa: E402
+from daycast.operators.horizon import (  # noqa: E402
+    attach_calendar, by_forecast_date, covered_months, expand_horizon, prepare_locations, spread_for_explode,
+    with_open_months,
+)
 from daycast.operators.inflation import attach_reported_inflation, fill_inflation, inflation_means  # noqa: E402
 from daycast.session import ensure_checkpoint_dir, local_session  # noqa: E402
 from daycast.sources import fixtures  # noqa: E402
@@ -106,9 +109,11 @@ def mean_fill_window(i: dict[str, DataFrame]) -> DataFrame:
 def mean_fill_aggregate(i: dict[str, DataFrame]) -> DataFrame:
     """Ours: location rows weighted by their open months, means joined back before the explode."""
     cal = day_details(i["monthly_sales"], P)
-    opened = with_open_months(prepare_locations(i["sales_days_future"], P), cal).drop("open_months")
-    locs = attach_reported_inflation(opened, i["monthly_sales"])
-    return attach_calendar(expand_horizon(fill_inflation(locs, inflation_means(locs))), cal)
+    prepared = prepare_locations(i["sales_days_future"], P)
+    dates = by_forecast_date(covered_months(prepared, i["monthly_sales"], cal, P))
+    locs = attach_reported_inflation(prepared, i["monthly_sales"])
+    means = inflation_means(with_open_months(locs, dates, P))
+    return attach_calendar(expand_horizon(spread_for_explode(fill_inflation(locs, means, P))), cal)
 
 
 def main() -> None:

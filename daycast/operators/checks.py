@@ -1,18 +1,22 @@
 """Data-quality checks.
 
-The original job stopped the process on bad input.  Here each check is a
-small explicit aggregate: input checks over the (small) location and
-project tables, output checks over the written result (see
-`ForecastRun.write`), raising `DataQualityError`.  The same values are
-available as rows (`quality_report`) for auditing, and rows that cannot
-be forecast can be split off with `rejects`.
+The original job stopped the process on bad input.  Here the checks on rows
+are metrics that ride on the run's one action (`ForecastRun`), and unique
+keys one small job over the inputs; a failed one raises `DataQualityError`.
+The same values are available as rows (`quality_report`) for auditing, and
+rows that cannot be forecast can be split off with `rejects`.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from daycast.functions.dates import CALENDAR_KEYS, calendar_key, month_floor
+from daycast.operators.horizon import offset_range
 from daycast.params import ForecastParams
 
 
@@ -67,7 +71,7 @@ def output_metrics() -> list[Column]:
 
 def calendar_metrics() -> list[Column]:
     """L7 (coverage) on location rows with open months: horizon months whose layout the calendar lacks."""
-    return [F.coalesce(F.sum("n_uncovered"), F.lit(0)).alias("calendar_missing")]
+    return [F.coalesce(F.sum("n_uncovered"), F.lit(0)).alias("calendar_missing")]      # 0 without rows
 
 
 def failures(metrics: dict, params: ForecastParams) -> list[str]:
@@ -96,6 +100,66 @@ def failures(metrics: dict, params: ForecastParams) -> list[str]:
     return out
 
 
+def raise_failures(metrics: dict, params: ForecastParams) -> None:
+    failed = failures(metrics, params)
+    if failed:
+        raise DataQualityError("; ".join(failed))
+
+
+class Observed:
+    """Metrics of `df` that ride on the action over `rows`."""
+
+    def __init__(self, df: DataFrame, metrics: list[Column]):
+        self.observation = Observation()
+        self.rows = df.observe(self.observation, *metrics)
+        self.alone = df.agg(*metrics)
+
+    def values(self) -> dict:
+        """The metrics' values, after the action.
+
+        Spark leaves a branch out of the plan, and its metrics with it, when
+        it turns out while running that nothing of it is left for the
+        result (say, none of the projects is valid).  They are then computed
+        by themselves, so that such a run can't pass its checks unseen.
+        """
+        try:
+            return self.observation.get
+        except Py4JJavaError as e:
+            if "AssertionError" not in str(e.java_exception):
+                raise
+        return self.alone.first().asDict()
+
+
+def observed_values(seen: list[Observed]) -> dict:
+    return {k: v for observed in seen for k, v in observed.values().items()}
+
+
+def uncovered_layouts(locations: DataFrame, pairs: DataFrame) -> DataFrame:
+    """L7 (coverage): the month layouts that the calendar lacks and what that costs.
+
+    One row per (jan1_day, month_num, leap_year) with the number of
+    different `months` left out, the first and the last of them, and the
+    `location_months` dropped.  `pairs` are the covered (date_forecast,
+    month) rows.  Locations are counted by offset range before months are
+    generated, so nothing of the horizon's size is shuffled.
+    """
+    lo, hi, ok = offset_range()
+    ranges = locations.where(ok).groupBy("date_forecast", lo.alias("lo"), hi.alias("hi")).agg(F.count(F.lit(1)).alias("n"))
+    wanted = (ranges.select("date_forecast", "n", F.explode(F.sequence("lo", "hi")).alias("_k"))
+              .select("date_forecast", "n", F.add_months(month_floor("date_forecast"), F.col("_k")).alias("month")))
+    lost = wanted.join(pairs.select("date_forecast", "month"), ["date_forecast", "month"], "left_anti")
+    by_month = lost.groupBy("month").agg(F.sum("n").alias("n"))
+    return (by_month.select("month", "n", *calendar_key("month")).groupBy(*CALENDAR_KEYS)
+            .agg(F.count(F.lit(1)).alias("months"), F.min("month").alias("first_month"), F.max("month").alias("last_month"),
+                 F.sum("n").alias("location_months")))
+
+
+def all_duplicate_keys(keyed: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
+    """L7 (keys) of several tables in one job: (table, duplicate_keys) rows."""
+    parts = [duplicate_keys(df, keys).select(F.lit(name).alias("table"), "duplicate_keys") for name, (df, keys) in keyed.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """L7 (keys): number of key values that occur more than once."""
     return (df.groupBy(*keys).count().where(F.col("count") > 1)
@@ -110,7 +174,7 @@ def _long(one_row: DataFrame) -> DataFrame:
 
 def quality_report(locations: DataFrame, projects: DataFrame, output: DataFrame,
                    monthly_sales: DataFrame, coverage: DataFrame | None = None) -> DataFrame:
-    """All check values as (check, value) rows: ordinary aggregates, no observe.
+    """All check values as (check, value) rows, for auditing: ordinary aggregates, no observe.
 
     `locations` must carry `concept_code` (see `prepare_locations`);
     `coverage` holds location rows with `n_uncovered` (see `with_open_months`).

@@ -1,5 +1,5 @@
 """Forecast horizon: one row per location, forecast date and future month
-(B6, B7, C2, D1, E1, K3, K18).
+(B6, B7, C2, D1, E1, F4, K3, K18).
 
 Everything that depends only on the location row (start offset, opening
 and closing months, reported month, days lost to opening and closing) is
@@ -7,6 +7,9 @@ computed *before* the explode, once per location row instead of once per
 month.  The explode then generates only the months that pass the
 opening/closing filter: the offset range is intersected with the open
 interval up front, so no row is generated just to be filtered out.
+
+What depends on the forecast date alone (covered months and their selling
+days, growth path) is computed on a table of one row per forecast date.
 """
 
 from __future__ import annotations
@@ -24,7 +27,8 @@ from daycast.functions.dates import (
     reported_month,
     sales_days_between,
 )
-from daycast.operators.calendar import calendar_array, calendar_days
+from daycast.operators.calendar import days_at_forecast_date
+from daycast.operators.joins import join_small
 from daycast.params import ForecastParams
 from daycast.sources.schemas import FAR_FUTURE
 
@@ -105,39 +109,77 @@ def horizon_offsets() -> Column:
     return F.when(ok, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
 
 
-def with_open_months(locations: DataFrame, calendar: DataFrame) -> DataFrame:
-    """C2 + E1 per location row: `open_months`, the months of the open horizon
-    that the calendar covers, in order, as an array of (month, days_max);
-    their number `n_open`, and `n_uncovered`, the number of months the
-    calendar lacks (dropped, as in the original).
+def horizon_months(locations: DataFrame) -> DataFrame:
+    """the distinct (date_forecast, month) pairs of the horizon, whether the calendar covers them or not.
 
-    The array holds at most months_predict + 1 entries.
+    The months of a forecast date are a union of offset ranges.  Locations
+    are folded to their distinct ranges before the only exchange (by
+    forecast date), so it grows with dates and horizon length, not with
+    locations.
     """
-    base = month_floor("date_forecast")
+    lo, hi, ok = offset_range()
+    ranges = (locations.where(ok).groupBy("date_forecast")
+              .agg(F.collect_set(F.struct(lo.alias("lo"), hi.alias("hi"))).alias("ranges")))
+    offsets = F.array_distinct(F.flatten(F.transform("ranges", lambda r: F.sequence(r["lo"], r["hi"]))))
+    return (ranges.select("date_forecast", F.explode(offsets).alias("_k"))
+            .select("date_forecast", F.add_months(month_floor("date_forecast"), F.col("_k")).alias("month")))
+
+
+def covered_months(locations: DataFrame, monthly_sales: DataFrame, calendar: DataFrame, params: ForecastParams) -> DataFrame:
+    """The horizon's (date_forecast, month) pairs with their selling days `days_max`; uncovered months are dropped."""
+    months = horizon_months(locations)
+    if params.calendar_version == "forecast_date":
+        return days_at_forecast_date(months, monthly_sales, params)
+    return attach_calendar(months, calendar).select("date_forecast", "month", "days_max")
+
+
+def with_open_months(locations: DataFrame, dates: DataFrame, params: ForecastParams) -> DataFrame:
+    """C2 + E1 per location row: `open_months`, the covered months of its open
+    horizon, in order, as an array of (month, days_max); their number
+    `n_open`, and `n_uncovered`, the number of months the calendar lacks
+    (dropped, as in the original).
+
+    `dates` has one row per forecast date with its covered `months` (see
+    `by_forecast_date`; entries may hold more) and whatever else the rows
+    are to carry.  A location row takes a slice of them, so no row looks up
+    a calendar.  The array holds at most months_predict + 1 entries.
+    """
+    rows = join_small(locations, dates, ["date_forecast"], params)
+    lo, hi, ok = offset_range()
+    ok = ok & F.col("months").isNotNull()
+    since = months_between_exact(month_floor("date_forecast"), F.col("_first_month"))
 
-    def entry(k: Column) -> Column:
-        m = F.add_months(base, k)
-        return F.struct(m.alias("month"), calendar_days(F.col("_calendar"), m).alias("days_max"))
+    def before(offset: Column) -> Column:
+        """How many covered months come before a month offset."""
+        place = F.greatest(F.lit(0), F.least(offset - since, F.size("_before") - 1))
+        return F.get(F.col("_before"), place)
 
-    return (locations.withColumn("_calendar", calendar_array(calendar))
-            .withColumn("_all", F.transform(horizon_offsets(), entry))
-            .withColumn("open_months", F.filter(F.col("_all"), lambda e: e["days_max"].isNotNull()))
-            .withColumns({"n_open": F.size("open_months"), "n_uncovered": F.size("_all") - F.size("open_months")})
-            .drop("_calendar", "_all"))
+    skipped = before(lo)
+    rows = rows.withColumns({"_skipped": F.when(ok, skipped), "n_open": F.when(ok, before(hi + 1) - skipped).otherwise(F.lit(0)),
+                             "_wanted": F.when(offset_range()[2], hi - lo + 1).otherwise(F.lit(0))})
+    own = F.when(F.col("n_open") > 0, F.slice("months", F.col("_skipped") + 1, F.col("n_open")))
+    return rows.withColumns({"open_months": F.coalesce(own, F.array().cast(dict(dates.dtypes)["months"])),
+                             "n_uncovered": F.col("_wanted") - F.col("n_open")}) \
+        .drop("months", "_first_month", "_before", "_skipped", "_wanted")
 
 
-def horizon_pairs(locations: DataFrame, calendar: DataFrame) -> DataFrame:
-    """the distinct (date_forecast, month) pairs of the covered horizon.
+def with_places(dates: DataFrame) -> DataFrame:
+    """`dates` with `_first_month`, the first of its `months`, and `_before`, for each month from there to the one
+    after the last the number of covered months before it.
 
-    The months of a forecast date are a union of offset ranges, so only the
-    distinct ranges are expanded (bounded by forecast dates and horizon
-    length, not by locations), after a partial aggregate.
+    With these a location row finds its part of `months` by two array reads
+    instead of comparing every month.
     """
-    lo, hi, ok = offset_range()
-    ranges = locations.where(ok).select("date_forecast", lo.alias("lo"), hi.alias("hi")).distinct()
-    months = (ranges.select("date_forecast", F.explode(F.sequence("lo", "hi")).alias("_k"))
-              .select("date_forecast", F.add_months(month_floor("date_forecast"), F.col("_k")).alias("month")))
-    return attach_calendar(months, calendar).select("date_forecast", "month").distinct()
+    first, last = F.element_at("months", 1)["month"], F.element_at("months", -1)["month"]
+    places = F.sequence(F.lit(0), months_between_exact(first, last) + 1)
+    count = lambda k: F.size(F.filter("months", lambda e: e["month"] < F.add_months(F.col("_first_month"), k)))
+    return dates.withColumn("_first_month", first).withColumn("_before", F.transform(places, count))
+
+
+def by_forecast_date(pairs: DataFrame) -> DataFrame:
+    """One row per forecast date with its covered `months`, an array of (month, days_max) in order."""
+    months = F.sort_array(F.collect_list(F.struct("month", "days_max")))
+    return with_places(pairs.groupBy("date_forecast").agg(months.alias("months")))
 
 
 def spread_for_explode(locations: DataFrame) -> DataFrame:

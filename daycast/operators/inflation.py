@@ -10,12 +10,12 @@ Physical plan, chosen for scale:
   of their (reported_month, concept_code) group (F10).  A location row
   counts once per open month, so the mean is one weighted aggregate of
   location rows with map-side combine; nothing is expanded for it.  The few
-  means are joined back on a salted key.
+  means are counted and broadcast (`joins.join_small`), so no location row moves.
 * The growth path (K12) is a function of (date_forecast, month) only.  It
   is computed on the distinct pairs (at most months_predict + 1 per
   forecast date), compounded with a running `product` window per forecast
-  date, and folded into one map per forecast date (bounded by the horizon
-  length), which is joined to the location rows before the explode.
+  date, and folded into the array of the date's covered months (bounded by
+  the horizon length), which is joined to the location rows before the explode.
 """
 
 from __future__ import annotations
@@ -27,11 +27,10 @@ from pyspark.sql import functions as F
 
 from daycast.functions.dates import lit_date, months_between_exact
 from daycast.functions.numeric import clamp, monthly_rate
+from daycast.operators.horizon import with_places
+from daycast.operators.joins import join_small
 from daycast.params import ForecastParams
 
-SALTS = 64
-
-
 def attach_reported_inflation(locations: DataFrame, monthly_sales: DataFrame) -> DataFrame:
     """K10 + E6: the ending inflation factor of the reported month, per location row."""
     infl = monthly_sales.select("loc_num", F.col("month").alias("reported_month"),
@@ -49,21 +48,9 @@ def inflation_means(locations: DataFrame) -> DataFrame:
             .agg((F.sum(F.col("inflation_factor") * weight) / F.sum(weight)).alias("inflation_mean")))
 
 
-def join_few(locations: DataFrame, few: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join of location rows with a table of few rows on few-valued keys.
-
-    Adaptive execution broadcasts `few` when it is small, but by then the
-    location rows are already shuffled; on such keys that would be a handful
-    of partitions.  Each key is therefore dealt over SALTS parts.
-    """
-    salted = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return (locations.withColumn("_salt", F.pmod(F.hash("loc_num", "date_forecast"), F.lit(SALTS)))
-            .join(salted, [*keys, "_salt"], "left").drop("_salt"))
-
-
-def fill_inflation(locations: DataFrame, means: DataFrame) -> DataFrame:
+def fill_inflation(locations: DataFrame, means: DataFrame, params: ForecastParams) -> DataFrame:
     """A missing base factor becomes its group mean."""
-    return (join_few(locations, means, ["reported_month", "concept_code"])
+    return (join_small(locations, means, ["reported_month", "concept_code"], params)
             .withColumn("inflation_factor", F.coalesce(F.col("inflation_factor"), F.col("inflation_mean")))
             .drop("inflation_mean"))
 
@@ -103,38 +90,40 @@ def inflation_path(pairs: DataFrame, params: ForecastParams, scope: str) -> Data
             .withColumn("incremental_time_inflation", F.product(monthly_inflation(params, scope)).over(by_date)))
 
 
-def path_by_forecast_date(path: DataFrame) -> DataFrame:
-    """The path folded into one `month -> growth` map per forecast date.
+def path_and_months(pairs: DataFrame, params: ForecastParams, scope: str) -> DataFrame:
+    """K12 and E1 by forecast date: one row each with `months`, the covered (month, days_max, growth)
+    in order, and `shift_n` (K14).
 
-    The map has at most months_predict + 1 entries: its size is bounded by
-    a parameter, not by the data.
+    `pairs` are distinct (date_forecast, month, days_max) rows.  The array
+    has at most months_predict + 1 entries; window and aggregate share the
+    exchange by forecast date.
     """
-    return (path.groupBy("date_forecast")
-            .agg(F.map_from_entries(F.collect_list(F.struct("month", "incremental_time_inflation")))
-                 .alias("inflation_path")))
+    by_date = (Window.partitionBy("date_forecast").orderBy("month")
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    grown = pairs.withColumn("growth", F.product(monthly_inflation(params, scope)).over(by_date))
+    rows = grown.groupBy("date_forecast").agg(F.sort_array(F.collect_list(F.struct("month", "days_max", "growth"))).alias("months"))
+    return with_places(rows.withColumn("shift_n", shift_months(F.element_at("months", 1)["month"], params)))
 
 
-def shift_months(pairs: DataFrame, params: ForecastParams) -> Column:
-    """K14 offset: n = max(0, whole months from the earliest forecast month to
-    price_change + months_before_next_increase), as a scalar subquery.
+def shift_months(first_month: Column, params: ForecastParams) -> Column:
+    """K14 offset: n = max(0, whole months from the earliest forecast month of
+    the run to price_change + months_before_next_increase); 0 when there is no price change.
 
-    0 when there is no price change.  `pairs` are the (date_forecast, month)
-    pairs of the horizon.
+    `first_month` is the first month of a row per forecast date; the
+    earliest one is a window over these few rows.
     """
     if params.price_change is None:
         return F.lit(0)
     target = F.add_months(lit_date(params.price_change), params.months_before_next_increase)
-    first = pairs.select(F.min("month").alias("m")).select(
-        F.greatest(F.lit(0), F.coalesce(months_between_exact(F.col("m"), target), F.lit(0))).alias("n"))
-    return first.scalar()
+    earliest = F.min(first_month).over(Window.partitionBy())
+    return F.greatest(F.lit(0), F.coalesce(months_between_exact(earliest, target), F.lit(0)))
 
 
 def growth_at(month: Column, i: Column) -> Column:
-    """E7 + K14/G8 inside the generator: the growth `shift_n` open months
-    earlier (the month's own when 0), or 1 for the first `shift_n` months."""
-    earlier = F.get(F.col("open_months"), i - F.col("shift_n"))["month"]
+    """E7 + K14/G8 inside the generator: the growth of the open month `shift_n`
+    places earlier (the month's own when 0), or 1 for the first `shift_n` months."""
     return (F.when(i < F.col("shift_n"), F.lit(1.0))
-            .otherwise(F.try_element_at(F.col("inflation_path"), earlier)))
+            .otherwise(F.get(F.col("open_months"), i - F.col("shift_n"))["growth"]))
 
 
 def _py_sales_days(a: dt.date, b: dt.date) -> int:

@@ -45,13 +45,23 @@ class ForecastParams:
 
     # Behaviour switches (defaults follow the original business logic).
     closing_vision: bool = True          # False: any known close limits the horizon
-    calendar_gap: str = "drop"           # "drop" | "error": horizon months without calendar
+    # Horizon months whose layout no month of the history has: "drop" them, stop with an
+    # "error", or "synthesise" them from a month that is as long and has as many Sundays.
+    calendar_gap: str = "drop"
+    # The calendar is learnt from months known at "as_of", for all forecast dates, or at each
+    # "forecast_date", so that a backtest sees no later month.
+    calendar_version: str = "as_of"
     leap_weekdays: tuple[str, ...] = ("Wednesday",)  # leap calendars synthesised from donors
     round_factors: bool = False          # True: gocf to 15, reinvestment factor to 2 digits
 
+    # Tables of one row per forecast date, or per reported month and concept, are broadcast up to
+    # this many rows (counted in the run, which stops beyond them); 0 joins them by a salted shuffle.
+    broadcast_rows: int = 10_000
+
     def __post_init__(self) -> None:
-        if self.calendar_gap not in ("drop", "error"):
-            raise ValueError(f"calendar_gap must be 'drop' or 'error', not {self.calendar_gap!r}")
+        for name, known in (("calendar_gap", ("drop", "error", "synthesise")), ("calendar_version", ("as_of", "forecast_date"))):
+            if getattr(self, name) not in known:
+                raise ValueError(f"{name} must be one of {known}, not {getattr(self, name)!r}")
         if self.reported_day < 1 or self.reported_day > 28:
             raise ValueError("reported_day must be within 1..28")
 

@@ -75,6 +75,55 @@ JOIN cal_obs o ON o.jan1_day = d.donor AND o.month_num = d.month_num AND NOT o.l
 WHERE NOT EXISTS (
   SELECT 1 FROM cal_obs x WHERE x.jan1_day = d.jan1_day AND x.month_num = d.month_num AND x.leap_year)"""
 
+def _dates_of(date, p, scope: str = "backtest") -> str:
+    return f"SELECT * FROM ({O.final_sql(p, scope)}) f WHERE date_forecast = {O._d(date)}"
+
+
+def _duplicates(table: str, keys: str) -> str:
+    return f"SELECT CAST(count(*) AS DOUBLE) FROM (SELECT {keys} FROM {table} GROUP BY ALL HAVING count(*) > 1) d"
+
+
+OBSERVED = _pipe(f"""
+SELECT 'required_missing' AS check_name, CAST(count(*) FILTER (
+  WHERE loc_num IS NULL OR date_forecast IS NULL) AS DOUBLE) AS value FROM locs
+UNION ALL SELECT 'open_date_missing', CAST(count(*) FILTER (WHERE open_date IS NULL) AS DOUBLE) FROM locs
+UNION ALL SELECT 'type_code_missing', CAST(count(*) FILTER (WHERE location_type_code IS NULL) AS DOUBLE) FROM locs
+UNION ALL SELECT 'project_dates_invalid', CAST(count(*) FILTER (
+  WHERE shutdown IS NULL OR reopen IS NULL OR reopen < shutdown) AS DOUBLE) FROM reinvestment_projects
+UNION ALL SELECT 'inflation_missing', CAST(count(*) FILTER (
+  WHERE inflation_factor IS NULL OR isnan(inflation_factor)) AS DOUBLE) FROM hz_factors
+UNION ALL SELECT 'inflation_max', round(max(inflation_factor), 6) FROM hz_factors
+UNION ALL SELECT 'days_missing', CAST(count(*) FILTER (WHERE days IS NULL) AS DOUBLE) FROM hz_factors
+UNION ALL SELECT 'calendar_missing', CAST((SELECT count(*) FROM horizon) - (SELECT count(*) FROM hz) AS DOUBLE)
+UNION ALL SELECT 'locations_duplicate_keys', ({_duplicates('sdf', 'loc_num, date_forecast')})
+UNION ALL SELECT 'history_duplicate_keys', ({_duplicates('monthly_sales', 'loc_num, month')})
+UNION ALL SELECT 'cannibalization_duplicate_keys', ({_duplicates('cannibalization_factors', 'loc_num, month')})
+UNION ALL SELECT 'reinvestment_duplicate_keys', ({_duplicates('reinvestment_factors', 'loc_num, month')})
+UNION ALL SELECT 'price_duplicate_keys', ({_duplicates('price_increases', 'price_group')})""")
+
+COVERAGE = _pipe(f"""SELECT {O.JAN1('month')} AS jan1_day, CAST(month(month) AS INTEGER) AS month_num, {O.LEAP('month')} AS leap_year,
+  count(DISTINCT month) AS months, min(month) AS first_month, max(month) AS last_month, count(*) AS location_months
+FROM horizon h WHERE NOT EXISTS (SELECT 1 FROM hz WHERE hz.month = h.month AND hz.date_forecast = h.date_forecast) GROUP BY ALL""",
+                 scope="backtest")
+
+# The lines of the raw location table and their faults, by supplier number.
+MALFORMED = f"""SELECT reason, CASE WHEN reason <> 'read' THEN line END AS line, count(*) AS n FROM (
+  SELECT CASE WHEN k % 11 = 3 OR k % 7 = 2 THEN 'fields' WHEN k % 17 = 4 THEN 'loc_num: missing'
+      WHEN k % 13 = 5 THEN 'open_date: no date' ELSE 'read' END AS reason,
+    CASE WHEN k % 11 = 3 THEN k || ',' || date_forecast || ',' || open_date ELSE
+      CASE WHEN k % 17 = 4 THEN '' ELSE CAST(k AS VARCHAR) END || ',' || date_forecast || ',' ||
+      CASE WHEN k % 13 = 5 THEN '31/12/1990' ELSE CAST(open_date AS VARCHAR) END || ',' ||
+      coalesce(CAST(close_date AS VARCHAR), 'null') || ',' || location_type_code || ',' || price_group ||
+      CASE WHEN k % 7 = 2 THEN ',extra' ELSE '' END END AS line
+  FROM (SELECT *, CAST(loc_num AS BIGINT) AS k FROM sdf) s) t
+GROUP BY ALL"""
+
+ORDERS = """SELECT lpad(CAST(o_orderkey AS VARCHAR), CAST(greatest(8, length(CAST(o_orderkey AS VARCHAR))) AS INTEGER), '0') AS o_orderkey,
+  lpad(CAST(o_custkey AS VARCHAR), CAST(greatest(8, length(CAST(o_custkey AS VARCHAR))) AS INTEGER), '0') AS o_custkey,
+  CASE WHEN o_orderkey % 5 <> 0 AND o_orderkey % 7 <> 0 AND o_orderkey % 9 <> 0 THEN CAST(o_orderdate AS DATE) END AS o_orderdate,
+  o_orderstatus
+FROM orders"""
+
 ORACLE_SQL: dict[str, str] = {
     "cleanse_locations": CLEANSE,
     "salesdays_between": SALESDAYS,
@@ -159,4 +208,17 @@ FROM ({O.final_sql(P)}) f""",
     "leap_all_weekdays": _fix(LEAP_ALL, O.calendar_ctes(P)),
     "forecast_final": O.final_sql(P, "forecast"),
     "forecast_final_backtest": O.final_sql(P, "backtest"),
+    "observed_checks": OBSERVED,
+    "sorted_sink": f"""SELECT loc_num, month, date_forecast, row_number() OVER (ORDER BY loc_num, month, date_forecast) AS position
+FROM ({O.final_sql(P, 'backtest')}) f""",
+    "single_file_sink": f"SELECT *, CAST(1 AS BIGINT) AS n_files FROM ({O.final_sql(P)}) f",
+    "rewritten_date": _dates_of(fixtures.BACKTEST_DATES[0], P) + " UNION ALL "
+                      + _dates_of(fixtures.BACKTEST_DATES[1], P.replace(closing_vision=False)),
+    "calendar_coverage": COVERAGE,
+    "synthesised_calendar": _fix("SELECT * FROM calendar", O.calendar_ctes(P.replace(calendar_gap="synthesise"))),
+    "forecast_synthesised": O.final_sql(P.replace(calendar_gap="synthesise")),
+    # One run per forecast date, which knows nothing later.
+    "forecast_versioned_calendar": " UNION ALL ".join(_dates_of(d, P.replace(as_of=d)) for d in fixtures.BACKTEST_DATES),
+    "malformed_rows": _fix(MALFORMED),
+    "cleanse_orders": ORDERS,
 }

@@ -9,6 +9,7 @@ the DuckDB oracle (`oracle_queries.py`).
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable
 
@@ -31,10 +32,11 @@ from daycast.operators.days import shutdown_days_lost, shutdown_months as shutdo
 from daycast.operators.history import cap_days, hist_array, history_days_by_month_num, last_twelve
 from daycast.operators.horizon import closing_month, expand_horizon, prepare_locations, with_open_months
 from daycast.params import BACKTEST, FORECAST, ForecastParams
-from daycast.plans.pipeline import plan_forecast
+from daycast.plans.pipeline import ForecastRun, forecast_sales_days, plan_forecast
 from daycast.session import ensure_checkpoint_dir
 from daycast.sources import fixtures, io
 from daycast.sources.io import cleanse_sales_days_future
+from daycast.sources.schemas import FORECAST_OUTPUT
 
 Query = Callable[[SparkSession, str], DataFrame]
 P = fixtures.FIXTURE_PARAMS
@@ -187,14 +189,19 @@ def inflation_mean_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
                                            "concept_code", "inflation_factor"))
 
 
+def growth_rows(dates: DataFrame) -> DataFrame:
+    return dates.select("date_forecast", F.explode("months").alias("m")).select(
+        "date_forecast", "m.month", F.col("m.growth").alias("incremental_time_inflation"))
+
+
 def inflation_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cumulative growth per forecast date and month, forecast scope."""
-    return round_doubles(_stages(spark, sf_dir)["path"])
+    return round_doubles(growth_rows(_stages(spark, sf_dir)["dates"]))
 
 
 def inflation_path_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K12 in backtest scope (N11: a begin rate above the end rate gives the end rate)."""
-    return round_doubles(_stages(spark, sf_dir, scope=BACKTEST)["path"])
+    return round_doubles(growth_rows(_stages(spark, sf_dir, scope=BACKTEST)["dates"]))
 
 
 def _inflation_rows(st: dict[str, DataFrame]) -> DataFrame:
@@ -254,7 +261,7 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     inp = fixtures.inputs(spark, sf_dir)
     st = _stages(spark, sf_dir)
     locs = prepare_locations(inp["sales_days_future"], P)
-    coverage = with_open_months(locs, st["calendar"])
+    coverage = with_open_months(locs, st["dates"], P)
     rep = checks.quality_report(locs, inp["reinvestment_projects"], st["output"], inp["monthly_sales"], coverage)
     return rep.select(F.col("check").alias("check_name"), F.round("value", 6).alias("value"))
 
@@ -324,6 +331,87 @@ def forecast_final_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_doubles(_stages(spark, sf_dir, scope=BACKTEST)["output"])
 
 
+# ---------------------------------------------------------------- runs that write, calendars, rejected rows
+
+def _run(spark: SparkSession, sf_dir: str, params: ForecastParams = P, scope: str = FORECAST, date: dt.date | None = None) -> ForecastRun:
+    inp = fixtures.inputs(spark, sf_dir, backtest=(scope == BACKTEST))
+    locations = inp["sales_days_future"]
+    if date is not None:
+        locations = locations.where(F.col("date_forecast") == F.lit(date))
+    return forecast_sales_days(locations, inp["monthly_sales"], inp["reinvestment_projects"], inp["cannibalization_factors"],
+                               inp["reinvestment_factors"], params, scope, inp["price_increases"])
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def observed_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The value of every check as it rode on the write of the forecast."""
+    run = _run(spark, sf_dir)
+    run.write(_folder(spark, "forecast"))
+    return spark.createDataFrame([(k, None if v is None else round(float(v), 6)) for k, v in run.metrics().items()],
+                                 "check_name string, value double")
+
+
+def sorted_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H1: the forecast written in one order; each row's place by file name and row number as read back."""
+    path = _folder(spark, "sorted")
+    _run(spark, sf_dir, scope=BACKTEST).write(path, sort=True)
+    return io.with_file_positions(spark.read.parquet(path)).select("loc_num", "month", "date_forecast", "position")
+
+
+def single_file_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3, H5: the forecast written as one CSV file and read back, with the number of files."""
+    path = _folder(spark, "single")
+    _run(spark, sf_dir).write(path, fmt="csv", single_file=True)
+    back = spark.read.schema(FORECAST_OUTPUT).option("header", True).csv(path)
+    n_files = back.agg(F.count_distinct(F.col("_metadata.file_path"))).scalar()
+    return round_doubles(back.withColumn("n_files", n_files))
+
+
+def rewritten_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3: two forecast dates written, then one of them again with other parameters."""
+    path = _folder(spark, "dates")
+    _run(spark, sf_dir, scope=BACKTEST).write(path)
+    _run(spark, sf_dir, P.replace(closing_vision=False), BACKTEST, fixtures.BACKTEST_DATES[1]).write(path, replace="dates")
+    return round_doubles(spark.read.parquet(path))
+
+
+def calendar_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Month layouts that the calendar lacks, with the months and location-months left out."""
+    return _run(spark, sf_dir, scope=BACKTEST).uncovered
+
+
+def synthesised_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1, K2: the calendar with every layout that looks like a month of the history."""
+    return cal_ops.day_details(fixtures.monthly_sales(spark, sf_dir), P.replace(calendar_gap="synthesise"))
+
+
+def forecast_synthesised(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K20 without calendar gaps."""
+    return round_doubles(_stages(spark, sf_dir, P.replace(calendar_gap="synthesise"))["output"])
+
+
+def forecast_versioned_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K20 in backtest scope, each forecast date with the calendar known on it."""
+    return round_doubles(_stages(spark, sf_dir, P.replace(calendar_version="forecast_date"), BACKTEST)["output"])
+
+
+def malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV lines that are no rows of the location table, with the reason, and the number of those that are."""
+    path = _folder(spark, "lines")
+    fixtures.broken_lines(spark, sf_dir).write.text(path)
+    good, rejects = io.read_checked(spark, "sales_days_future", path, fixtures.RAW_COLUMNS)
+    read = good.agg(F.lit("read").alias("reason"), F.lit(None).cast("string").alias("line"), F.count(F.lit(1)).alias("n"))
+    return read.unionByName(rejects.groupBy("reason", "line").agg(F.count(F.lit(1)).alias("n")))
+
+
+def cleanse_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys and dates of a table outside the registry."""
+    return io.cleanse_columns(fixtures.raw_orders(spark, sf_dir), ["o_orderkey", "o_custkey"], ["o_orderdate"], width=8)
+
+
 QUERIES: dict[str, Query] = {
     "cleanse_locations": cleanse_locations,
     "salesdays_between": salesdays_between,
@@ -365,4 +453,14 @@ QUERIES: dict[str, Query] = {
     "leap_all_weekdays": leap_all_weekdays,
     "forecast_final": forecast_final,
     "forecast_final_backtest": forecast_final_backtest,
+    "observed_checks": observed_checks,
+    "sorted_sink": sorted_sink,
+    "single_file_sink": single_file_sink,
+    "rewritten_date": rewritten_date,
+    "calendar_coverage": calendar_coverage,
+    "synthesised_calendar": synthesised_calendar,
+    "forecast_synthesised": forecast_synthesised,
+    "forecast_versioned_calendar": forecast_versioned_calendar,
+    "malformed_rows": malformed_rows,
+    "cleanse_orders": cleanse_orders,
 }

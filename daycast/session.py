@@ -37,10 +37,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str = "/tmp/daycast-checkpoints") -> str:
-    """Use the cluster's `spark.checkpoint.dir`; set `fallback` only where it is unset (tests)."""
+    """Use the cluster's `spark.checkpoint.dir`; set `fallback` only in local mode where it is unset (tests)."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: on a cluster it must name a folder that all executors share")
         sc.setCheckpointDir(fallback)
         current = fallback
     return current

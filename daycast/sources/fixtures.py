@@ -72,6 +72,31 @@ def faulty_sales_days_future(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("close_date", F.when(k % 4 == 2, "never").otherwise(F.col("close_date"))))
 
 
+def broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw location table as CSV lines, some cut short, some with a field too many, a text for a date or no key."""
+    k = F.col("loc_num").cast("long")
+    raw = raw_sales_days_future(spark, sf_dir).withColumn("k", k)
+    short = F.concat_ws(",", "loc_num", "date_forecast", "open_date")
+    whole = F.concat_ws(",", F.when(F.col("k") % 17 == 4, "").otherwise(F.col("loc_num")), "date_forecast",
+                        F.when(F.col("k") % 13 == 5, "31/12/1990").otherwise(F.col("open_date")),
+                        "close_date", "location_type_code", "price_group")
+    line = F.when(F.col("k") % 11 == 3, short).when(F.col("k") % 7 == 2, F.concat(whole, F.lit(",extra"))).otherwise(whole)
+    return raw.select(line.alias("value"))
+
+
+RAW_COLUMNS = ("loc_num", "date_forecast", "open_date", "close_date", "location_type_code", "price_group")
+
+
+def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as raw text: unpadded keys, empty, 'null' and unreadable dates."""
+    k = F.col("o_orderkey")
+    date = F.col("o_orderdate").cast("date").cast("string")
+    return _read(spark, sf_dir, "orders").select(
+        F.concat(F.lit(" "), k.cast("string")).alias("o_orderkey"), F.col("o_custkey").cast("string").alias("o_custkey"),
+        F.when(k % 5 == 0, "null").when(k % 7 == 0, "").when(k % 9 == 0, F.lit("n/a")).otherwise(date).alias("o_orderdate"),
+        "o_orderstatus")
+
+
 def sales_days_future(spark: SparkSession, sf_dir: str, raw: bool = False) -> DataFrame:
     k = F.col("s_suppkey")
     out = _read(spark, sf_dir, "supplier").select(

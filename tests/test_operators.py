@@ -204,9 +204,9 @@ def test_null_increase_keeps_lagged_path(spark):
 def test_shift_by_rows_defaults_to_one(spark):
     months = month_seq(D(2001, 3, 1), 5)
     path = {m: 1.0 + i / 10 for i, m in enumerate(months)}
-    df = spark.createDataFrame([("A", [(m, 26) for m in months], path, 2)],
-                               "loc_num string, open_months array<struct<month: date, days_max: int>>, "
-                               "inflation_path map<date, double>, shift_n int")
+    df = spark.createDataFrame([("A", [(m, 26, path[m]) for m in months], 2)],
+                               "loc_num string, open_months array<struct<month: date, days_max: int, growth: double>>, "
+                               "shift_n int")
     got = sorted(expand_open_months(df, ["loc_num"], {"s": growth_at}).select("month", "s").collect())
     assert [r.s for r in got] == [1.0, 1.0, 1.0, 1.1, 1.2]
     got = sorted(expand_open_months(df.withColumn("shift_n", F.lit(0)), ["loc_num"], {"s": growth_at})
