@@ -44,14 +44,16 @@ _BLANK = " \t\x0b\x0c\r"
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """place (doc_id, text hash, line number), words, n, and the words' hash k1, k2; docs: doc_id, t, text."""
-    line = F.btrim(F.col("line"), F.lit(_BLANK))
+    """place (doc_id, text hash, line number) and the line, of lines with words; docs: doc_id, t, text."""
     return (docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
             .select("doc_id", "t", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-            .select("doc_id", "t", "pos", F.split(line, r"[ \t\x0B\f\r]+").alias("words"), (line != "").alias("some"))
-            .where("some")
-            .select("doc_id", "t", "pos", "words", F.size("words").alias("n"),
-                    F.xxhash64("words").alias("k1"), F.xxhash64(F.lit(17), "words").alias("k2")))
+            .withColumn("line", F.btrim(F.col("line"), F.lit(_BLANK))).where("line <> ''"))
+
+
+def _with_words(lines: DataFrame) -> DataFrame:
+    """Lines with their words, the number n of them, and the words' hash k1, k2, instead of the text."""
+    return (lines.withColumn("words", F.split("line", r"[ \t\x0B\f\r]+")).drop("line")
+            .withColumns({"n": F.size("words"), "k1": F.xxhash64("words"), "k2": F.xxhash64(F.lit(17), "words")}))
 
 
 def _halves() -> Column:
@@ -105,7 +107,10 @@ def _variants(candidates: DataFrame) -> DataFrame:
 
 
 def _near(lines: DataFrame, distinct: DataFrame) -> DataFrame:
-    """k1, k2 of the lines with an earlier line within one edit; distinct: k1, k2, first, halves."""
+    """k1, k2 of the lines with an earlier line within one edit; distinct: k1, k2, first, halves.
+
+    The lines are read again for the candidates' words; only candidates are split into words.
+    """
     halves = distinct.where("halves is not null").select("k1", "k2", F.posexplode(F.array_compact("halves")).alias("side", "half"))
     shared = saved(halves.groupBy("half").agg(F.count("*").alias("m")).where("m > 1").select("half"))
     sides = (halves.join(shared, "half").groupBy("k1", "k2")
@@ -114,7 +119,7 @@ def _near(lines: DataFrame, distinct: DataFrame) -> DataFrame:
     n_places = places.count()
     few = n_places <= BROADCAST_ROWS
     own = places.select("head", "tail", "first", "first.doc_id", "first.t", "first.pos")
-    candidates = saved(lines.join(F.broadcast(own) if few else own, ["doc_id", "t", "pos"])
+    candidates = saved(_with_words(lines.join(F.broadcast(own) if few else own, ["doc_id", "t", "pos"]))
                        .select("k1", "k2", "n", "head", "tail", "first", "words"))
     if candidates.count() > n_places:      # repeated rows of the input have a line at one place several times
         candidates = saved(candidates.dropDuplicates(["k1", "k2"]))
@@ -142,12 +147,14 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     whole = whole.withColumn("t", F.xxhash64("text"))
     lines = _lines(whole.select("doc_id", "t", "text"))
     place = F.struct("doc_id", "t", "pos")
-    distinct = saved(lines.select("k1", "k2", place.alias("place"), _halves().alias("halves"))
+    # Every line once without its words: 16 bytes of hash, its place, and the hashes of its halves.
+    hashed = saved(_with_words(lines).select("doc_id", "t", "pos", "k1", "k2", _halves().alias("halves")))
+    distinct = saved(hashed.select("k1", "k2", place.alias("place"), "halves")
                      .groupBy("k1", "k2").agg(F.min("place").alias("first"), F.max("place").alias("last"), F.first("halves").alias("halves")))
     near = _near(lines, distinct).withColumn("near", F.lit(True))
     hit = saved(distinct.select("k1", "k2", "first", (F.col("first") != F.col("last")).alias("again"))
                 .join(near, ["k1", "k2"], "left").where("again or near").select("k1", "k2", "first", F.coalesce("near", F.lit(False)).alias("near")))
-    removed = (lines.select("doc_id", "t", "pos", "k1", "k2").join(hit, ["k1", "k2"])
+    removed = (hashed.select("doc_id", "t", "pos", "k1", "k2").join(hit, ["k1", "k2"])
                .withColumn("exact", place != F.col("first")).where("exact or near")
                .groupBy("doc_id", "t").agg(F.collect_set("pos").alias("places"),
                                            F.count_distinct(F.when(F.col("exact"), F.col("pos"))).alias("n_exact")))
