@@ -34,7 +34,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daycast.llm.common import documents, saved
+from daycast.llm.common import documents, saved, shuffles_removed
 
 MIN_WORDS = 8
 PRIME = 2**31 - 1
@@ -51,8 +51,15 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def _with_words(lines: DataFrame) -> DataFrame:
-    """Lines with their words, the number n of them, and the words' hash k1, k2, instead of the text."""
-    return (lines.withColumn("words", F.split("line", r"[ \t\x0B\f\r]+")).drop("line")
+    """Lines with their words, the number n of them, and the words' hash k1, k2, instead of the text.
+
+    A line whose words stand one plain space apart is cut at single characters, the others by a pattern.
+    """
+    odd = F.lit(False)
+    for blank in ("  ", "\t", "\x0b", "\x0c", "\r"):
+        odd = odd | F.contains("line", F.lit(blank))
+    words = F.when(odd, F.split("line", r"[ \t\x0B\f\r]+")).otherwise(F.split("line", " "))
+    return (lines.withColumn("words", words).drop("line")
             .withColumns({"n": F.size("words"), "k1": F.xxhash64("words"), "k2": F.xxhash64(F.lit(17), "words")}))
 
 
@@ -147,13 +154,15 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     whole = whole.withColumn("t", F.xxhash64("text"))
     lines = _lines(whole.select("doc_id", "t", "text"))
     place = F.struct("doc_id", "t", "pos")
-    # Every line once without its words: 16 bytes of hash, its place, and the hashes of its halves.
-    hashed = saved(_with_words(lines).select("doc_id", "t", "pos", "k1", "k2", _halves().alias("halves")))
-    distinct = saved(hashed.select("k1", "k2", place.alias("place"), "halves")
-                     .groupBy("k1", "k2").agg(F.min("place").alias("first"), F.max("place").alias("last"), F.first("halves").alias("halves")))
-    near = _near(lines, distinct).withColumn("near", F.lit(True))
-    hit = saved(distinct.select("k1", "k2", "first", (F.col("first") != F.col("last")).alias("again"))
-                .join(near, ["k1", "k2"], "left").where("again or near").select("k1", "k2", "first", F.coalesce("near", F.lit(False)).alias("near")))
+    with shuffles_removed(docs.sparkSession):
+        # Every line once without its words: 16 bytes of hash, its place, and the hashes of its halves.
+        hashed = saved(_with_words(lines).select("doc_id", "t", "pos", "k1", "k2", _halves().alias("halves")))
+        distinct = saved(hashed.select("k1", "k2", place.alias("place"), "halves")
+                         .groupBy("k1", "k2").agg(F.min("place").alias("first"), F.max("place").alias("last"), F.first("halves").alias("halves")))
+        near = _near(lines, distinct).withColumn("near", F.lit(True))
+        hit = saved(distinct.select("k1", "k2", "first", (F.col("first") != F.col("last")).alias("again"))
+                    .join(near, ["k1", "k2"], "left").where("again or near")
+                    .select("k1", "k2", "first", F.coalesce("near", F.lit(False)).alias("near")))
     removed = (hashed.select("doc_id", "t", "pos", "k1", "k2").join(hit, ["k1", "k2"])
                .withColumn("exact", place != F.col("first")).where("exact or near")
                .groupBy("doc_id", "t").agg(F.collect_set("pos").alias("places"),
