@@ -88,6 +88,7 @@ class ForecastRun:
     observed: Callable[[], tuple[DataFrame, list[checks.Observed]]]
     key_checks: DataFrame | None = None
     uncovered: DataFrame | None = None
+    dates: DataFrame | None = None
     rejects: dict[str, DataFrame] = dataclasses.field(default_factory=dict)
     _keys: dict | None = None
     _rows: dict | None = None
@@ -116,8 +117,8 @@ class ForecastRun:
         """Write to `path + '.staging'`, check, then move the result to `path`.
 
         `replace="all"` puts the result in the place of all of `path`;
-        `replace="dates"` only in that of its own forecast dates, others
-        stay.  `sort=True` writes files that form one order by location,
+        `replace="dates"` only in that of its input's forecast dates, others
+        stay (a date for which nothing is forecast any more goes).  `sort=True` writes files that form one order by location,
         month and forecast date (H1; see `io.write_sorted`), which holds for
         the result as a whole, so it goes with `replace="all"` only.
 
@@ -144,7 +145,7 @@ class ForecastRun:
         for name, df in self.rejects.items():
             io.write_output(df, f"{root}.rejects.staging/{name}", fmt=fmt, partition_by=DATE if DATE in df.columns else None)
         self.check()
-        dates = io.partitions_of(spark, staging) if replace == "dates" else None
+        dates = [io.partition_name(DATE, r[0]) for r in self.dates.collect()] if replace == "dates" else None
         for name, df in self.rejects.items():
             there = f"{root}.rejects.staging/{name}", f"{root}.rejects/{name}"
             if dates is not None and DATE in df.columns:
@@ -241,6 +242,7 @@ def forecast_sales_days(sales_days_future: DataFrame, monthly_sales: DataFrame,
     if on_invalid not in ("stop", "reject"):
         raise ValueError(f"on_invalid must be 'stop' or 'reject', not {on_invalid!r}")
     rejects: dict[str, DataFrame] = {}
+    all_locations = sales_days_future
     if on_invalid == "reject":
         bad_project = checks.invalid_project()
         rejects = {"sales_days_future": checks.rejects(sales_days_future),
@@ -249,6 +251,7 @@ def forecast_sales_days(sales_days_future: DataFrame, monthly_sales: DataFrame,
         reinvestment_projects = reinvestment_projects.where(~bad_project)
     inputs = (sales_days_future, monthly_sales, reinvestment_projects, cannibalization_factors, reinvestment_factors)
     st = plan_forecast(*inputs, params, scope, price_increases)
+    dates = all_locations.where(F.col(DATE).isNotNull()).select(DATE).distinct()
 
     def observed() -> tuple[DataFrame, list[checks.Observed]]:
         seen: list[checks.Observed] = []
@@ -266,4 +269,4 @@ def forecast_sales_days(sales_days_future: DataFrame, monthly_sales: DataFrame,
              "reinvestment": (reinvestment_factors, ["loc_num", "month"]), "price": (price_increases, ["price_group"])}
     key_checks = checks.all_duplicate_keys({k: v for k, v in keyed.items() if v[0] is not None}) if with_checks else None
     uncovered = checks.uncovered_layouts(prepare_locations(sales_days_future, params), st["pairs"])
-    return ForecastRun(st["output"], params, observed, key_checks, uncovered, rejects)
+    return ForecastRun(st["output"], params, observed, key_checks, uncovered, dates, rejects)

@@ -132,6 +132,10 @@ def test_one_date_is_rewritten_and_a_failed_check_changes_nothing(spark, stored,
     run_of(stored, sales_days_future=one, on_invalid="reject").write(path, replace="dates")
     assert [r.loc_num for r in spark.read.parquet(f"{path}.rejects/sales_days_future").collect()] == ["x"]
     assert rows_of(spark.read.parquet(path)) == before
+    # A date for which nothing is forecast any more goes.
+    never = one.withColumn("open_date", F.lit(dt.date(2100, 1, 1)))
+    run_of(stored, sales_days_future=never, on_invalid="reject").write(path, replace="dates")
+    assert rows_of(spark.read.parquet(path)) == [r for r in before if r[1] == D1]
     assert sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith("out")) == []
     assert not [p for p in tmp_path.iterdir() if p.name.endswith((".old", ".unsorted")) or ".rejects." in p.name]
 
