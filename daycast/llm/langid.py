@@ -6,11 +6,13 @@ backwards, every byte position gets a probability for each language, and a
 document's probabilities are the mean over its positions.
 
 Training is numpy backpropagation through time with Adam on a bounded
-sample: at most `SAMPLE_PER_LANGUAGE` documents in expectation per learned
-language (at most `MAX_LANGUAGES`, the most frequent; `MAX_SAMPLE` rows in
-all), drawn by hash at a rate set from counts over all training rows, one
-passage of `PASSAGE` characters each.  Scoring is a map over all documents
-and reads every byte.
+sample of every labelled language: `SAMPLE_PER_LANGUAGE` documents each in
+expectation, fewer where there are so many languages that they would pass
+`MAX_SAMPLE` together, but `LEAST_PER_LANGUAGE` (all of a language with
+fewer), drawn by hash at a rate set from counts over all training rows, one
+passage of `PASSAGE` characters each.  More than `MAX_LANGUAGES` different
+labels are no languages, and stop the training.  Scoring is a map over all
+documents and reads every byte.
 
 Defined results: a text that is null or has no letter is `und`, score 0;
 a null lang is never learned from; without any labelled row all are `und`;
@@ -31,11 +33,13 @@ from pyspark.sql import functions as F
 from daycast.llm.common import documents, fold_of, ship, text_slices
 
 SEGMENT, HIDDEN = 64, 8
-SAMPLE_PER_LANGUAGE, MAX_LANGUAGES, MAX_SAMPLE, PASSAGE = 600, 64, 12_000, 512
+SAMPLE_PER_LANGUAGE, LEAST_PER_LANGUAGE, MAX_SAMPLE, PASSAGE = 600, 40, 12_000, 512
+MAX_LANGUAGES = 10_000
 STEPS, BATCH, RATE = 220, 192, 0.02
 UND = "und"
-#: Below this mean probability a document counts as in none of the languages.
-LEAST_SCORE = 0.3
+#: The part of the way from chance (one over the number of languages) to certainty that a document's mean probability
+#: must have covered, or it counts as in none of the languages.
+LEAST_GAIN = 1 / 15
 
 
 def _bend(x: np.ndarray) -> np.ndarray:
@@ -190,19 +194,21 @@ class BiGRU:
 
 def training_sample(labelled: DataFrame) -> list:
     """(lang, passage) rows: a bounded hash sample, evenly over the languages; labelled: doc_id, text, lang."""
-    counts = (labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES)).collect()
+    counts = labelled.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
     if not counts:
         return []
-    rates = labelled.sparkSession.createDataFrame(
-        [(c["lang"], min(1.0, SAMPLE_PER_LANGUAGE / c["count"])) for c in counts], "lang string, rate double")
+    if len(counts) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} different labels")
+    each = max(LEAST_PER_LANGUAGE, min(SAMPLE_PER_LANGUAGE, MAX_SAMPLE // len(counts)))
+    rates = labelled.sparkSession.createDataFrame([(c["lang"], min(1.0, each / c["count"])) for c in counts], "lang string, rate double")
     h = F.xxhash64(F.coalesce("doc_id", F.lit(0)), F.lit(7))
     begin = F.greatest(F.pmod(F.shiftright(h, 20), F.greatest(F.length("text") - PASSAGE, F.lit(1))), F.lit(0)) + 1
-    return (labelled.join(F.broadcast(rates), "lang")
+    rows = (labelled.join(F.broadcast(rates), "lang")
             .withColumn("h", h)
             .where(F.pmod(F.shiftright("h", 8), F.lit(1_000_000)) < F.col("rate") * 1_000_000)
-            .select("h", "lang", F.substring(F.col("text"), begin.cast("int"), F.lit(PASSAGE)).alias("passage"))
-            .orderBy("h", "lang", "passage").limit(MAX_SAMPLE)
-            .collect())
+            .select("h", "lang", F.substring(F.col("text"), begin.cast("int"), F.lit(PASSAGE)).alias("passage")))
+    # In order of the hash here: sorting them in Spark would read the documents once more.
+    return sorted(rows.collect(), key=lambda r: (r["h"], r["lang"], r["passage"]))
 
 
 def train(sample: list) -> BiGRU | None:
@@ -256,8 +262,15 @@ def predict_language(docs: DataFrame, model: BiGRU | None, id_col: str = "doc_id
             .mapInArrow(run, "doc_id long, lang_pred string, score double"))
 
 
-def in_known_language(docs: DataFrame, model: BiGRU | None, least: float = LEAST_SCORE, text_col: str = "text") -> DataFrame:
-    """The documents, all columns, whose language is predicted with a score of at least `least` (`und` never is)."""
+def least_score(n_languages: int, gain: float = LEAST_GAIN) -> float:
+    """The least mean probability that stands for a language, relative to chance; with one language all texts have it."""
+    chance = 1 / max(n_languages, 1)
+    return chance + (1 - chance) * gain - 1e-6
+
+
+def in_known_language(docs: DataFrame, model: BiGRU | None, gain: float = LEAST_GAIN, text_col: str = "text") -> DataFrame:
+    """The documents, all columns, whose language is predicted with a score of `least_score` or more (`und` never is)."""
+    least = least_score(len(model.languages) if model else 0, gain)
     shared = ship(docs.sparkSession).sparkContext.broadcast(model)
     place = docs.columns.index(text_col)
 

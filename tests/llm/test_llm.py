@@ -355,3 +355,21 @@ def test_brown_counts_and_base_against_plain_python(spark):
     assert {r.held_out for r in got} == {True, False} and all(np.isfinite(r.score) and r.score < 0 for r in got)
     name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
     assert spark.conf.get(name) == "false"      # the session's setting is put back
+
+
+def test_every_language_is_sampled(spark, monkeypatch):
+    """Beside many well-filled languages a rare one is learned too; no global limit cuts it off."""
+    monkeypatch.setattr(langid, "MAX_SAMPLE", 90)
+    monkeypatch.setattr(langid, "LEAST_PER_LANGUAGE", 10)
+    rows = [(i, f"text {i}", f"l{i % 30:02d}") for i in range(3000)] + [(9000 + i, "rare", "zz") for i in range(4)] + [(9999, "no label", None)]
+    sample = langid.training_sample(spark.createDataFrame(rows, "doc_id long, text string, lang string").where("lang is not null"))
+    counts = {k: sum(r["lang"] == k for r in sample) for k in {r["lang"] for r in sample}}
+    assert len(counts) == 31 and counts["zz"] == 4 and sum(counts.values()) < 600
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 30)
+    with pytest.raises(ValueError, match="30 different labels"):
+        langid.training_sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+
+
+def test_the_least_score_is_relative_to_chance():
+    assert abs(langid.least_score(4) - 0.3) < 1e-5 and langid.least_score(1) < 1
+    assert all(1 / n < langid.least_score(n) < 1 / n + 0.07 for n in (2, 3, 10, 1000))
