@@ -149,7 +149,8 @@ class ByteBPE:
 
     def _encode_pre_token(self, text: str) -> bytes:
         parts = self.cut(text.encode())
-        ids = self.fragments[parts[0]] if len(parts) == 1 else [i for part in parts for i in self.fragments[part]]
+        # A pre-token of one fragment is kept as a pre-token alone.
+        ids = self._merge(parts[0]) if len(parts) == 1 else [i for part in parts for i in self.fragments[part]]
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode_ordinary(self, text: str) -> bytes:
