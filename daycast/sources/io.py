@@ -223,13 +223,15 @@ def write_output(df: DataFrame, path: str, fmt: str = "parquet", single_file: bo
 
     Parquet partitioned by forecast date is the default, so readers can prune
     by date.  `single_file=True` reproduces the one-CSV output of the
-    original job (one task writes everything; only for small outputs).
+    original job: one task writes everything, but only writes; the plan runs
+    in all tasks before it, and the rows reach the writer as a stream.
     `sort=True` sorts rows by location and month inside each file
     without a global sort (`write_sorted` makes one order of all files).
     """
     out = df
     if single_file:
-        out = out.coalesce(1)
+        # An exchange: coalesce(1) would run the plan's last joins, for all rows, in the one task that writes.
+        out = out.repartition(1)
         partition_by = None
     if sort:
         out = out.sortWithinPartitions("loc_num", "month", "date_forecast")

@@ -1,5 +1,7 @@
 """CSV/Parquet sources and sinks (A1-A4) and the named registry."""
 
+from pyspark.sql import functions as F
+
 from daycast.sources import fixtures
 from daycast.sources.io import load_inputs, preview, write_output
 
@@ -37,3 +39,12 @@ def test_sinks(spark, tmp_path):
     files = [p for p in (tmp_path / "csv").iterdir() if p.name.startswith("part-")]
     assert len(files) == 1
     assert preview(out).count() == 5
+
+
+def test_single_file_is_written_by_one_task_that_does_nothing_else(spark, tmp_path):
+    rows = spark.range(0, 1000, 1, 4).withColumn("computed_in", F.spark_partition_id())
+    write_output(rows, str(tmp_path / "one"), fmt="csv", single_file=True)
+    assert len([p for p in (tmp_path / "one").iterdir() if p.name.startswith("part-")]) == 1
+    back = spark.read.option("header", True).csv(str(tmp_path / "one")).collect()
+    assert sorted(int(r.id) for r in back) == list(range(1000))
+    assert {r.computed_in for r in back} == {"0", "1", "2", "3"}
