@@ -293,3 +293,20 @@ def test_one_calendar_and_few_subqueries(stored, params):
     final = plan.split("== Initial Plan ==")[0]
     medians = re.findall(r"functions=\[median\(", final)
     assert len(medians) <= 2, final      # partial and final aggregate of the one calendar
+
+
+def test_rewritten_date_aggregates_its_history_once(spark, tmp_path, monkeypatch):
+    """Neither of the two runs reads `lineitem`; the history made of it is stored before them."""
+    from daycast.plans import queries
+
+    spark.range(1, 21).select(F.col("id").alias("s_suppkey")).write.parquet(str(tmp_path / "supplier.parquet"))
+    spark.range(3).select(F.col("id").alias("r_regionkey")).write.parquet(str(tmp_path / "region.parquet"))
+    month = F.add_months(F.lit(dt.date(1995, 1, 10)), (F.col("id") % 84).cast("int"))
+    spark.range(20 * 84).select((F.floor(F.col("id") / 84) + 1).alias("l_suppkey"), month.alias("l_shipdate"),
+                                F.lit(10.0).alias("l_extendedprice"), F.lit(0.1).alias("l_discount")).write.parquet(str(tmp_path / "lineitem.parquet"))
+    read, write = [], io.write_output
+    monkeypatch.setattr(io, "write_output", lambda df, *args, **kw: (read.append(df.inputFiles()), write(df, *args, **kw)))
+    got = queries.rewritten_date(spark, str(tmp_path))
+    assert len(read) == 2 and not [f for files in read for f in files if "/lineitem.parquet/" in f]
+    first, last = (queries._run(spark, str(tmp_path), P.replace(closing_vision=v), BACKTEST, d).output for v, d in ((True, D1), (False, D2)))
+    assert rows_of(got.select(first.columns)) == sorted(rows_of(queries.round_doubles(first)) + rows_of(queries.round_doubles(last)))
