@@ -20,7 +20,7 @@ ending classes).
 
 What is counted covers all training documents:
 * documents are dealt into blocks, each written once as places in its
-  sorted distinct words;
+  sorted distinct words, in buckets that no pass shuffles again;
 * counts of every word: each block sends every distinct word once with its
   count to the part of the hash space it falls in, and gets the corpus count
   of each back;
@@ -45,6 +45,7 @@ documents every count is 0; repeated rows count, and are scored, each.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -54,7 +55,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daycast.llm.blocks import block_of, cuts, is_in, n_parts
-from daycast.llm.common import FOLDED_VALUES, U, Words, documents, fold_of, id_text, mix, saved, shuffles_removed, text_slices, words
+from daycast.llm.common import FOLDED_VALUES, U, Words, checkpoint_dir, documents, fold_of, id_text, mix, saved, shuffles_removed, text_slices, words
 
 TOP, CLASSES, ENDINGS, PASSES = 1024, 48, 64, 8
 BLOCK = 1024
@@ -75,6 +76,16 @@ def _words(data: np.ndarray, off: np.ndarray) -> tuple[Words, np.ndarray]:
     return w, (mix(last * U(3) + before) % U(ENDINGS)).astype(np.uint8)
 
 
+def _distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct hashes, sorted, and the place of each hash among them; only the distinct ones are sorted."""
+    found = pa.array(hashes).dictionary_encode()
+    h, at = found.dictionary.to_numpy(), found.indices.to_numpy()
+    order = np.argsort(h)
+    place = np.empty(len(h), np.int64)
+    place[order] = np.arange(len(h))
+    return h[order], place[at]
+
+
 def _encode(table: pa.Table) -> pa.Table:
     """One row for a block: its texts as places in its sorted distinct words, their training counts and endings."""
     train = table.column("train").to_numpy()
@@ -85,9 +96,11 @@ def _encode(table: pa.Table) -> pa.Table:
         endings.append(e)
         sizes.append(np.diff(w.doc))
     sizes = np.concatenate(sizes)
-    h, at, places = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+    h, places = _distinct(np.concatenate(hashes))
     n = np.bincount(places, np.repeat(train.astype(float), sizes), len(h))
-    cols = [train.astype(np.uint8), sizes, h, n.astype(np.uint32), np.concatenate(endings)[at], places.astype(np.uint32)]
+    ending = np.zeros(len(h), np.uint8)
+    ending[places] = np.concatenate(endings)        # of a word always the same
+    cols = [train.astype(np.uint8), sizes, h, n.astype(np.uint32), ending, places.astype(np.uint32)]
     return pa.Table.from_arrays([table.column("block").slice(0, 1), pa.array([table.column("doc_id").to_pylist()], pa.list_(pa.int64())),
                                  *(pa.array([_packed(c)], pa.binary()) for c in cols)], ["block", "doc_ids", *ENCODED])
 
@@ -97,13 +110,16 @@ ENCODED = {"train": np.bool_, "sizes": np.int64, "words": U, "counts": np.uint32
 
 
 def _packed(x: np.ndarray) -> bytes:
-    """Compressed values behind their number of bytes: every pass shuffles the blocks again."""
+    """Compressed values behind their number of bytes: every pass reads the blocks and shuffles their messages again."""
     return x.nbytes.to_bytes(8, "little") + pa.compress(x.tobytes(), codec="zstd", asbytes=True)
 
 
+def _unpacked(raw: bytes, kind) -> np.ndarray:
+    return np.frombuffer(pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), codec="zstd"), kind)
+
+
 def _column(table: pa.Table, name: str) -> np.ndarray:
-    raw = table.column(name)[0].as_py()
-    return np.frombuffer(pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), codec="zstd"), ENCODED[name])
+    return _unpacked(table.column(name)[0].as_py(), ENCODED[name])
 
 
 def _send(table: pa.Table, parts: int) -> pa.Table:
@@ -124,7 +140,9 @@ def _count_part(table: pa.Table) -> pa.Table:
     raw = [np.frombuffer(x.as_buffer(), U) for x in table.column("words")]
     n = np.concatenate([np.frombuffer(x.as_buffer(), np.uint32) for x in table.column("counts")])
     e = np.concatenate([np.frombuffer(x.as_buffer(), np.uint8) for x in table.column("endings")])
-    h, at, inverse = np.unique(np.concatenate(raw), return_index=True, return_inverse=True)
+    h, inverse = _distinct(np.concatenate(raw))
+    ending = np.zeros(len(h), np.uint8)
+    ending[inverse] = e
     total = np.bincount(inverse, n, len(h)).astype(np.int64)
     back, ends = total[inverse], np.cumsum([0, *map(len, raw)])
     kinds, blocks, blobs = [], [], []
@@ -133,10 +151,10 @@ def _count_part(table: pa.Table) -> pa.Table:
         blocks.append(b)
         blobs.append(back[ends[k]:ends[k + 1]].tobytes())
     seen = total > 0
-    sums = np.stack([np.bincount(e[at], total, ENDINGS), np.bincount(e[at][seen], minlength=ENDINGS)]).astype(np.int64)
+    sums = np.stack([np.bincount(ending, total, ENDINGS), np.bincount(ending[seen], minlength=ENDINGS)]).astype(np.int64)
     best = np.lexsort((h, -total))[:TOP]
     best = best[total[best] > 0]
-    top = np.stack([h[best].view(np.int64), total[best], e[at][best].astype(np.int64)], axis=1)
+    top = np.stack([h[best].view(np.int64), total[best], ending[best].astype(np.int64)], axis=1)
     part = table.column("part")[0].as_py()
     return pa.Table.from_arrays(
         [pa.array([part] * (len(kinds) + 2), pa.int32()), pa.array([*kinds, 1, 2], pa.int32()), pa.array([*blocks, 0, 0], pa.int64()),
@@ -267,9 +285,10 @@ def _send_neighbours(block: pa.Table, classes: np.ndarray, parts: int) -> pa.Tab
     at = cuts(h, parts)
     ends = np.concatenate([[0], np.cumsum(sizes)])[at]
     full = np.flatnonzero(np.diff(at))
-    pack = lambda x, to: pa.array([x[to[k]:to[k + 1]].tobytes() for k in full], pa.binary())
+    pack = lambda x, to: pa.array([_packed(x[to[k]:to[k + 1]]) for k in full], pa.binary())
     return pa.Table.from_arrays(
-        [pa.array(full, pa.int32()), pa.array(np.full(len(full), block.column("block")[0].as_py()), pa.int64()), pack(h, at),
+        [pa.array(full, pa.int32()), pa.array(np.full(len(full), block.column("block")[0].as_py()), pa.int64()),
+         pa.array([h[at[k]:at[k + 1]].tobytes() for k in full], pa.binary()),
          pack(sizes.astype(np.uint32), at), pack((keys % (2 * TOTAL)).astype(np.uint8), ends), pack(n.astype(np.uint32), ends)],
         ["part", "block", "words", "sizes", "classes", "counts"])
 
@@ -282,16 +301,20 @@ def gains(pairs: np.ndarray) -> np.ndarray:
 
 def _move_part(table: pa.Table, gain: np.ndarray) -> pa.Table:
     """kind 0: the new class of each word sent (UNSEEN without training texts); kind 1: words by class."""
-    column = lambda name, kind: [np.frombuffer(x.as_buffer(), kind) for x in table.column(name)]
-    raw = column("words", U)
-    h, inverse = np.unique(np.concatenate(raw), return_inverse=True)
+    column = lambda name, kind: [_unpacked(x.as_py(), kind) for x in table.column(name)]
+    raw = [np.frombuffer(x.as_buffer(), U) for x in table.column("words")]
+    h, inverse = _distinct(np.concatenate(raw))
     word = np.repeat(inverse, np.concatenate(column("sizes", np.uint32)))
-    order = np.argsort(word, kind="stable")
-    word, near, n = word[order], np.concatenate(column("classes", np.uint8))[order], np.concatenate(column("counts", np.uint32))[order]
+    near, n = np.concatenate(column("classes", np.uint8)), np.concatenate(column("counts", np.uint32))
     new = np.full(len(h), UNSEEN, np.uint8)
+    chunk = word // CHUNK
+    if len(h) > CHUNK:
+        # Dealt by chunk, not put in order: counts are added up in any order. 16 bits have a faster sort.
+        order = np.argsort(chunk.astype(np.uint16) if len(h) <= CHUNK << 16 else chunk, kind="stable")
+        word, near, n, chunk = word[order], near[order], n[order], chunk[order]
     for lo in range(0, len(h), CHUNK):
         hi = min(len(h), lo + CHUNK)
-        a, b = np.searchsorted(word, [lo, hi])
+        a, b = np.searchsorted(chunk, [lo // CHUNK, lo // CHUNK + 1])
         near_counts = np.bincount((word[a:b] - lo) * 2 * TOTAL + near[a:b], n[a:b], (hi - lo) * 2 * TOTAL).reshape(hi - lo, 2 * TOTAL)
         new[lo:hi] = np.where(near_counts.any(axis=1), (near_counts @ gain).argmax(axis=1), UNSEEN)
     back, ends = new[inverse], np.cumsum([0, *map(len, raw)])
@@ -351,18 +374,21 @@ def _added(rows: DataFrame, size: int) -> np.ndarray:
     return table
 
 
-def _bigrams(docs: DataFrame, top: np.ndarray) -> tuple[np.ndarray, int]:
-    """Bigram counts of units over all training texts, and the number of texts."""
-    shared = docs.sparkSession.sparkContext.broadcast((np.sort(top), np.argsort(top)))
+def _bigrams(encoded: DataFrame, top: np.ndarray) -> tuple[np.ndarray, int]:
+    """Bigram counts of units over all training texts, and the number of texts; one table a task."""
+    shared = encoded.sparkSession.sparkContext.broadcast((np.sort(top), np.argsort(top)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, order = shared.value
         table, rows = np.zeros(UNITS * UNITS, np.int64), 0
         for b in batches:
-            rows += b.num_rows
-            for _, _, data, off in text_slices(b.column(0)):
-                w, e = _words(data, off)
-                unit, first = _with_ends(_units(w, e, hashes, order), w.doc, END)
+            for k in range(b.num_rows):
+                rows += 1
+                block = pa.Table.from_batches([b.slice(k, 1)])
+                train, sizes = _column(block, "train"), _column(block, "sizes")
+                words = Words(_column(block, "words"), *[np.zeros(0, np.int64)] * 3)
+                unit = _units(words, _column(block, "endings"), hashes, order)[_column(block, "places")[np.repeat(train, sizes)]]
+                unit, first = _with_ends(unit, np.concatenate([[0], np.cumsum(sizes[train])]), END)
                 table += np.bincount(_before(unit, first, END) * UNITS + unit, minlength=UNITS * UNITS)
         if rows:
             table = table.reshape(UNITS, UNITS)
@@ -370,7 +396,7 @@ def _bigrams(docs: DataFrame, top: np.ndarray) -> tuple[np.ndarray, int]:
             yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([table[u].tobytes() for u in some], pa.binary())],
                                              ["unit", "counts"])
 
-    table = _added(docs.where("train").select("text").mapInArrow(run, "unit int, counts binary"), UNITS)
+    table = _added(encoded.mapInArrow(run, "unit int, counts binary"), UNITS)
     return table, int(table[:, END].sum())
 
 
@@ -385,6 +411,21 @@ def _each_block(encoded: DataFrame, run: Callable[[pa.Table], pa.Table], schema:
     return encoded.mapInArrow(rows, schema)
 
 
+def _in_buckets(blocks: DataFrame, n: int) -> DataFrame:
+    """The blocks, written once to the shared checkpoint folder in `n` buckets by block: what is joined with them by block
+    comes to them, and they are not shuffled.
+
+    The table is only a name to read the buckets by, and goes from the catalog; its files stay.
+    """
+    spark = blocks.sparkSession
+    name = f"blocks_{uuid.uuid4().hex}"
+    (blocks.write.format("parquet").bucketBy(n, "block").option("path", f"{checkpoint_dir(spark)}/{name}")
+     .option("compression", "none").saveAsTable(name))
+    stored = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return stored
+
+
 def _clustered(encoded: DataFrame, start: Start, parts: int) -> tuple[DataFrame, np.ndarray, np.ndarray]:
     """Classes of all training words (as answers to the blocks), class bigrams, and the words of each class."""
     spark = encoded.sparkSession
@@ -421,8 +462,8 @@ def class_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     parts = n_parts(docs.sparkSession)
     spread = F.coalesce(block_of(F.col("doc_id"), BLOCK), -1 - F.pmod(F.xxhash64("text"), F.lit(4096)))
     with shuffles_removed(docs.sparkSession):
-        encoded = saved(docs.withColumn("block", spread).groupBy("block").applyInArrow(
-            _encode, "block long, doc_ids array<long>, " + ", ".join(f"{c} binary" for c in ENCODED)))
+        encoded = _in_buckets(docs.withColumn("block", spread).groupBy("block").applyInArrow(
+            _encode, "block long, doc_ids array<long>, " + ", ".join(f"{c} binary" for c in ENCODED)), parts)
         counted = saved(_each_block(encoded, lambda t: _send(t, parts), "part int, block long, words binary, counts binary, endings binary")
                         .groupBy("part").applyInArrow(_count_part, "part int, kind int, block long, blob binary"))
 
@@ -434,7 +475,7 @@ def class_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             else:
                 top = np.concatenate([top, np.frombuffer(r["blob"], np.int64).reshape(-1, 3)])
                 top = top[np.lexsort((top[:, 0], -top[:, 1]))[:TOP]]
-        table, ends = _bigrams(docs, top[:, 0].view(U))
+        table, ends = _bigrams(encoded, top[:, 0].view(U))
         answers, pairs, sizes = _clustered(encoded, Start(top, exchange(table, len(top))), parts)
     by_block = encoded.groupBy("block")
     model = docs.sparkSession.sparkContext.broadcast(BrownModel(pairs, sizes, endings, ends))
