@@ -165,11 +165,17 @@ def shuffles_removed(spark: SparkSession) -> Iterator[None]:
 
 
 _shipped: set[str] = set()
+#: Bytes of an Arrow batch between a task and its Python worker, if the session leaves Spark's default of 64 MB: whole
+#: texts are wide, both sides hold a batch several times over, and the worker keeps its memory through the next stages.
+ARROW_BYTES = 4 << 20
+_ARROW = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def ship(spark: SparkSession) -> SparkSession:
-    """Send this package's sources to the executors, once per application: the tasks import it."""
+    """Send this package's sources to the executors, once per application: the tasks import it; batches get ARROW_BYTES."""
     sc = spark.sparkContext
+    if spark.conf.get(_ARROW) == "67108864b":
+        spark.conf.set(_ARROW, ARROW_BYTES)
     if sc.applicationId not in _shipped:
         root = Path(__file__).resolve().parent.parent
         target = Path(tempfile.mkdtemp(prefix="package-")) / f"{root.name}.zip"

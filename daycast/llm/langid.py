@@ -181,8 +181,8 @@ class BiGRU:
         real[target] = True
         sums = np.empty((total, len(self.languages)))
         x, real = padded.reshape(total, SEGMENT), real.reshape(total, SEGMENT)
-        for lo in range(0, total, 2048):
-            hi = min(lo + 2048, total)
+        for lo in range(0, total, 512):
+            hi = min(lo + 512, total)
             p = self.positions(np.ascontiguousarray(x[lo:hi].T))
             if not real[lo:hi].all():
                 p *= real[lo:hi].T[:, :, None]

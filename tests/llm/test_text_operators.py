@@ -290,3 +290,28 @@ def test_chat_query(spark, tmp_path):
 
 def test_chat_of_an_empty_table(spark):
     assert chat.read_back(chat.format_conversations(chat_table(spark, []))).collect() == []
+
+
+def test_batches_of_whole_texts_are_bounded_by_bytes(spark):
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    from daycast.llm.common import ARROW_BYTES, ship
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows])], ["n"])
+
+    wide = ship(spark).range(0, 300, 1, 1).select(F.repeat(F.lit("text "), 20_000).alias("text"))     # 30 MB in one task
+    found = [r.n for r in wide.mapInArrow(sizes, "n long").collect()]
+    assert sum(found) == 300 and max(found) * 100_000 <= 2 * ARROW_BYTES
+
+
+def test_class_model_blocks_are_not_shuffled_by_a_pass(spark):
+    from daycast.llm.brown_lm import class_scores
+
+    docs = spark.createDataFrame([(k, f"a b c{k % 7} d") for k in range(4000)], "doc_id long, text string")
+    scored = class_scores(docs)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(block") == 1      # of the answers
+    assert scored.count() == 4000
